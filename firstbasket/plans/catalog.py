@@ -183,3 +183,124 @@ def q_abt(spark, sf_dir):
 @register("bi_view")
 def q_bi_view(spark, sf_dir):
     return _bi(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- quality, de-duplication, ingest
+
+from ..operators import dedup, kpi, quality  # noqa: E402
+from ..schemas import FOREIGN_KEYS, PRIMARY_KEYS, not_null_columns  # noqa: E402
+from ..sources import files  # noqa: E402
+from ..sources.dimensions import fill_unknown  # noqa: E402
+from .sources import patched_translation, reviews_deduplicated  # noqa: E402
+
+
+def _loaded_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    r = _roles(spark, sf_dir)
+    return {
+        "customers": r.customers, "orders": r.orders, "order_items": r.order_items,
+        "order_payments": r.order_payments, "order_reviews": reviews_deduplicated(r),
+        "products": fill_unknown(r.products), "sellers": r.sellers,
+        "category_translation": patched_translation(r), "state_median_income": r.state_median_income,
+    }
+
+
+@register("dq_unique_key")
+def q_dq_unique_key(spark, sf_dir):
+    return quality.unique_key_violations(_roles(spark, sf_dir).order_items, PRIMARY_KEYS["order_items"])
+
+
+@register("dq_orphans")
+def q_dq_orphans(spark, sf_dir):
+    return quality.orphan_report(FOREIGN_KEYS, _loaded_tables(spark, sf_dir))
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    tables = _loaded_tables(spark, sf_dir)
+    return quality.not_null_violations(tables, {t: not_null_columns(t) for t in tables})
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark, sf_dir):
+    s = _roles(spark, sf_dir).sellers.select("seller_id", "seller_state")
+    return quality.surrogate_key(s, [F.col("seller_id")], name="seller_sk")
+
+
+@register("review_dedup")
+def q_review_dedup(spark, sf_dir):
+    return reviews_deduplicated(_roles(spark, sf_dir))
+
+
+@register("duplicate_rows")
+def q_duplicate_rows(spark, sf_dir):
+    return dedup.duplicate_rows(_roles(spark, sf_dir).order_reviews_raw, "order_id")
+
+
+@register("duplicate_key_counts")
+def q_duplicate_key_counts(spark, sf_dir):
+    return dedup.duplicate_key_counts(_roles(spark, sf_dir).order_reviews_raw, "order_id", 5)
+
+
+@register("patch_dimension")
+def q_patch_dimension(spark, sf_dir):
+    return patched_translation(_roles(spark, sf_dir))
+
+
+@register("fill_unknown_category")
+def q_fill_unknown_category(spark, sf_dir):
+    return fill_unknown(_roles(spark, sf_dir).products).select("product_id", "product_category_name")
+
+
+@register("csv_scan_roundtrip")
+def q_csv_scan_roundtrip(spark, sf_dir):
+    """Export the reporting view as CSV to the shared checkpoint folder and scan it back with the
+    declared schema bound by position."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    bi = _bi(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/exports/bi_view_{uuid.uuid4().hex}"
+    files.write_csv(bi, path)
+    return files.read_csv(spark, path, bi.schema)
+
+
+# ---------------------------------------------------------------- dashboard KPIs
+
+@register("kpi_overall")
+def q_kpi_overall(spark, sf_dir):
+    return kpi.overall(_bi(spark, sf_dir))
+
+
+@register("kpi_monthly")
+def q_kpi_monthly(spark, sf_dir):
+    return kpi.monthly(_bi(spark, sf_dir))
+
+
+@register("kpi_late")
+def q_kpi_late(spark, sf_dir):
+    return kpi.late_vs_on_time(_bi(spark, sf_dir))
+
+
+@register("kpi_review_score")
+def q_kpi_review_score(spark, sf_dir):
+    return kpi.by(_bi(spark, sf_dir), "first_order_review_score")
+
+
+@register("kpi_category")
+def q_kpi_category(spark, sf_dir):
+    return kpi.ranked_categories(_bi(spark, sf_dir))
+
+
+@register("kpi_basket_size")
+def q_kpi_basket_size(spark, sf_dir):
+    return kpi.by(_bi(spark, sf_dir), "first_order_item_count")
+
+
+@register("kpi_state")
+def q_kpi_state(spark, sf_dir):
+    return kpi.by(_bi(spark, sf_dir), "customer_state")
+
+
+@register("kpi_overview")
+def q_kpi_overview(spark, sf_dir):
+    return kpi.overview(_bi(spark, sf_dir))

@@ -304,3 +304,128 @@ def q_kpi_state(spark, sf_dir):
 @register("kpi_overview")
 def q_kpi_overview(spark, sf_dir):
     return kpi.overview(_bi(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- profiling, cleaning, correlation
+
+from ..operators import clean, profile  # noqa: E402
+
+
+def _clean(spark, sf_dir, keep=()) -> DataFrame:
+    return clean.clean_abt(_abt(spark, sf_dir), keep=keep)
+
+
+@register("frame_shape")
+def q_frame_shape(spark, sf_dir):
+    return profile.frame_shape(_abt(spark, sf_dir))
+
+
+@register("distinct_counts")
+def q_distinct_counts(spark, sf_dir):
+    return profile.distinct_counts(_roles(spark, sf_dir).order_reviews_raw)
+
+
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    return profile.null_counts(_abt(spark, sf_dir))
+
+
+@register("non_null_counts")
+def q_non_null_counts(spark, sf_dir):
+    return profile.non_null_counts(_abt(spark, sf_dir)).drop("data_type")
+
+
+@register("null_rows")
+def q_null_rows(spark, sf_dir):
+    return profile.null_rows(_abt(spark, sf_dir), "first_order_review_score").select(
+        PERSON, "first_order_id", "first_order_review_score", "review_comment_flag")
+
+
+def _abt_numeric(a: DataFrame) -> list[str]:
+    return profile.numeric_columns(a, exclude=clean.IDENTIFIERS)
+
+
+@register("describe_numeric")
+def q_describe_numeric(spark, sf_dir):
+    a = _abt(spark, sf_dir)
+    return profile.describe_numeric(a, _abt_numeric(a))
+
+
+@register("describe_categorical")
+def q_describe_categorical(spark, sf_dir):
+    return profile.describe_categorical(_abt(spark, sf_dir))
+
+
+@register("quantiles")
+def q_quantiles(spark, sf_dir):
+    q = profile.exact_quantiles(_abt(spark, sf_dir), ["review_response_delay_days"], [0.1, 0.99])
+    return q.select("prob", F.round("value", profile.ROUND).alias("value"))
+
+
+@register("value_counts")
+def q_value_counts(spark, sf_dir):
+    return profile.value_counts(_abt(spark, sf_dir), "reordered_180d")
+
+
+@register("value_shares")
+def q_value_shares(spark, sf_dir):
+    return profile.value_shares(_abt(spark, sf_dir), "reordered_180d")
+
+
+@register("type_family_counts")
+def q_type_family_counts(spark, sf_dir):
+    return profile.type_family_counts(_abt(spark, sf_dir))
+
+
+@register("histogram")
+def q_histogram(spark, sf_dir):
+    a = _abt(spark, sf_dir)
+    return profile.histogram(a, _abt_numeric(a), bins=10)
+
+
+@register("preview")
+def q_preview(spark, sf_dir):
+    return _abt(spark, sf_dir).limit(5)
+
+
+@register("impute_flags")
+def q_impute_flags(spark, sf_dir):
+    a = _abt(spark, sf_dir).select(PERSON, *clean.FILL_ZERO)
+    return clean.impute_reviews(a)
+
+
+@register("calendar_features")
+def q_calendar_features(spark, sf_dir):
+    return clean.calendar_features(_abt(spark, sf_dir).select(PERSON, "first_order_timestamp"))
+
+
+@register("late_flag")
+def q_late_flag(spark, sf_dir):
+    a = clean.narrow_types(_abt(spark, sf_dir).select(PERSON, "actual_vs_estimated_delivery_days"))
+    return clean.add_late_flag(a)
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    a = _abt(spark, sf_dir).select(PERSON, *clean.CATEGORICAL)
+    return encode.one_hot(a, list(clean.CATEGORICAL), dtype="tinyint")
+
+
+@register("abt_clean")
+def q_abt_clean(spark, sf_dir):
+    return _clean(spark, sf_dir)
+
+
+@register("label_correlation")
+def q_label_correlation(spark, sf_dir):
+    return profile.label_correlation(_clean(spark, sf_dir), "reordered_180d")
+
+
+@register("corr_extremes")
+def q_corr_extremes(spark, sf_dir):
+    return profile.correlation_extremes(profile.label_correlation(_clean(spark, sf_dir), "reordered_180d"), 10)
+
+
+@register("corr_top_abs")
+def q_corr_top_abs(spark, sf_dir):
+    return profile.correlation_top_abs(profile.label_correlation(_clean(spark, sf_dir), "reordered_180d"), 25)

@@ -429,3 +429,103 @@ def q_corr_extremes(spark, sf_dir):
 @register("corr_top_abs")
 def q_corr_top_abs(spark, sf_dir):
     return profile.correlation_top_abs(profile.label_correlation(_clean(spark, sf_dir), "reordered_180d"), 25)
+
+
+# ---------------------------------------------------------------- split, folds, evaluation, lift
+
+from ..operators import metrics, split  # noqa: E402
+
+LABEL = "reordered_180d"
+# Cut-off used to turn the deterministic baseline score into a class for the confusion matrix and
+# the classification report (the baseline's scores sit far below 0.5).
+BASELINE_CUTOFF = 0.2
+
+
+def baseline_score() -> "F.Column":
+    """A model-free score: the mean of the person's category and state reorder rates (the state
+    rate alone when the first order has no translated category)."""
+    return F.coalesce((F.col("category_reorder_rate") + F.col("state_reorder_rate")) / 2,
+                      F.col("state_reorder_rate"))
+
+
+def _split(spark, sf_dir) -> DataFrame:
+    a = _abt(spark, sf_dir).select(PERSON, LABEL, "category_reorder_rate", "state_reorder_rate")
+    return split.stratified_split(a, LABEL, PERSON, CFG.test_share, CFG.seed)
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    return (_split(spark, sf_dir).where(F.col("is_test") == 1)
+            .select(PERSON, F.col(LABEL).alias("y_true"), baseline_score().alias("y_proba")))
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return _split(spark, sf_dir).select(PERSON, LABEL, "is_test")
+
+
+@register("stratified_folds")
+def q_stratified_folds(spark, sf_dir):
+    train = _split(spark, sf_dir).where(F.col("is_test") == 0).select(PERSON, LABEL)
+    return split.stratified_folds(train, LABEL, PERSON, CFG.folds, CFG.seed)
+
+
+@register("imbalance_ratio")
+def q_imbalance_ratio(spark, sf_dir):
+    return metrics.imbalance_ratio(_split(spark, sf_dir), LABEL, F.col("is_test") == 0)
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    s = _scored(spark, sf_dir)
+    return metrics.confusion_counts(s, "y_true", (F.col("y_proba") >= BASELINE_CUTOFF).cast("int"))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf_dir):
+    s = _scored(spark, sf_dir)
+    return metrics.classification_report(s, "y_true", (F.col("y_proba") >= BASELINE_CUTOFF).cast("int"))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return metrics.roc_auc(_scored(spark, sf_dir), "y_true", "y_proba")
+
+
+@register("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    return metrics.roc_curve(_scored(spark, sf_dir), "y_true", "y_proba")
+
+
+@register("threshold_sweep")
+def q_threshold_sweep(spark, sf_dir):
+    return metrics.threshold_sweep(_scored(spark, sf_dir), "y_true", "y_proba", CFG.sweep_thresholds)
+
+
+@register("score_histogram")
+def q_score_histogram(spark, sf_dir):
+    return profile.histogram(_scored(spark, sf_dir), ["y_proba"], bins=50)
+
+
+@register("score_summary")
+def q_score_summary(spark, sf_dir):
+    return metrics.score_summary(_scored(spark, sf_dir), "y_proba")
+
+
+@register("score_table")
+def q_score_table(spark, sf_dir):
+    return metrics.score_table(_scored(spark, sf_dir), "y_proba", PERSON)
+
+
+@register("score_deciles")
+def q_score_deciles(spark, sf_dir):
+    return metrics.score_deciles(_scored(spark, sf_dir), "y_proba", PERSON, CFG.deciles)
+
+
+@register("lift_table")
+def q_lift_table(spark, sf_dir):
+    return metrics.lift_table(_scored(spark, sf_dir), "y_true", "y_proba", PERSON, CFG.deciles)
+
+
+@register("lift_top_pct")
+def q_lift_top_pct(spark, sf_dir):
+    return metrics.lift_top_pct(_scored(spark, sf_dir), "y_true", "y_proba", PERSON, 20.0, CFG.deciles)

@@ -529,3 +529,60 @@ def q_lift_table(spark, sf_dir):
 @register("lift_top_pct")
 def q_lift_top_pct(spark, sf_dir):
     return metrics.lift_top_pct(_scored(spark, sf_dir), "y_true", "y_proba", PERSON, 20.0, CFG.deciles)
+
+
+# ---------------------------------------------------------------- training and scoring (rows-only checks)
+
+from ..operators import model  # noqa: E402
+
+# The registered training queries keep the search and the forests small so that the check runs
+# in seconds; the library defaults (30 draws, 800 trees) are the full search.
+CHECK_TREES = 10
+CHECK_DRAWS = 2
+
+
+def _model_sets(spark, sf_dir):
+    cleaned = _clean(spark, sf_dir, keep=(PERSON,))
+    flagged = split.stratified_split(cleaned, LABEL, PERSON, CFG.test_share, CFG.seed)
+    features = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test"))
+    prepared = model.prepare(flagged, LABEL, features)
+    train = model.with_class_weight(prepared.where(F.col("is_test") == 0), LABEL)
+    test = prepared.where(F.col("is_test") == 1)
+    return train, test, features
+
+
+@register("train_classifier")
+def q_train_classifier(spark, sf_dir):
+    train, test, features = _model_sets(spark, sf_dir)
+    m = model.fit(train, LABEL, features, model.gbt(LABEL, max_iter=CHECK_TREES, max_depth=4, seed=CFG.seed))
+    return model.score(m, test, [PERSON], LABEL)
+
+
+@register("train_logistic")
+def q_train_logistic(spark, sf_dir):
+    train, test, features = _model_sets(spark, sf_dir)
+    m = model.fit(train, LABEL, features, model.logistic(LABEL, max_iter=50))
+    return model.score(m, test, [PERSON], LABEL)
+
+
+@register("tune_classifier")
+def q_tune_classifier(spark, sf_dir):
+    train, _, features = _model_sets(spark, sf_dir)
+    folded = split.stratified_folds(train, LABEL, PERSON, CFG.folds, CFG.seed)
+    est = model.gbt(LABEL, max_iter=CHECK_TREES, seed=CFG.seed)
+    _, results = model.tune(folded, LABEL, features, est, model.param_draws(CHECK_DRAWS, CFG.seed))
+    return results
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    train, _, features = _model_sets(spark, sf_dir)
+    m = model.fit(train, LABEL, features, model.gbt(LABEL, max_iter=CHECK_TREES, max_depth=4, seed=CFG.seed))
+    return model.feature_importance(m, features, spark).limit(50)
+
+
+@register("model_lift_table")
+def q_model_lift_table(spark, sf_dir):
+    train, test, features = _model_sets(spark, sf_dir)
+    m = model.fit(train, LABEL, features, model.gbt(LABEL, max_iter=CHECK_TREES, max_depth=4, seed=CFG.seed))
+    return metrics.lift_table(model.score(m, test, [PERSON], LABEL), "y_true", "y_proba", PERSON, CFG.deciles)

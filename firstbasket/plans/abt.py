@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..operators import cohort, encode, features
 from ..operators.cohort import PERSON
+from ..session import checkpoint_dir
 
 ABT_COLUMNS = (
     "customer_unique_id", "first_order_id", "first_order_timestamp",
@@ -57,8 +58,15 @@ def labelled_spine(src: Sources, cfg: Config) -> DataFrame:
     return cohort.reorder_label(spine, delivered, cfg)
 
 
-def build_abt(src: Sources, cfg: Config) -> DataFrame:
-    """22 columns, one row per person with a first delivered order before the cut-off."""
+def build_abt(src: Sources, cfg: Config, checkpoint: bool = True) -> DataFrame:
+    """22 columns, one row per person with a first delivered order before the cut-off.
+
+    The person-grain frame is read three times (the star assembly and the two group rates that
+    are learned from it and joined back). With ``checkpoint`` it is written once to the
+    session's checkpoint folder, so the spine, label and feature aggregates run once and a lost
+    executor re-reads files instead of recomputing the shuffles; without it, Spark re-derives the
+    whole frame in each branch (their column sets differ, so exchanges are not reused).
+    """
     base = labelled_spine(src, cfg)
     baskets = (features.first_order_baskets(base, src.order_items, src.products, src.category_translation)
                .withColumnRenamed("order_id", "first_order_id"))
@@ -75,6 +83,9 @@ def build_abt(src: Sources, cfg: Config) -> DataFrame:
             .join(baskets, "first_order_id", "left")
             .join(payments, "first_order_id", "left")
             .join(reviews, "first_order_id", "left"))
+    if checkpoint:
+        checkpoint_dir(wide.sparkSession)
+        wide = wide.checkpoint(eager=True)
     wide = encode.target_encode(wide, "first_order_category", "reordered_180d", "category")
     wide = encode.target_encode(wide, "customer_state", "reordered_180d", "state")
     wide = wide.join(income, "customer_state", "left")

@@ -25,12 +25,13 @@ LOCAL_DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g", app: str = "firstbasket") -> SparkSession:
+                  driver_memory: str = "8g", app: str = "firstbasket",
+                  extra_conf: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.driver.memory", driver_memory)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for key, value in LOCAL_DEFAULTS.items():
+    for key, value in {**LOCAL_DEFAULTS, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -57,6 +58,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="firstbasket-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

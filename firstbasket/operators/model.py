@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -158,3 +158,39 @@ def feature_importance(model: PipelineModel, features: Sequence[str], spark) ->
     imp = tree.featureImportances.toArray().tolist()
     return (spark.createDataFrame(list(zip(features, [float(x) for x in imp])), "feature string, importance double")
             .orderBy(F.col("importance").desc(), F.col("feature").asc()))
+
+
+def sparse_encoder(categorical: Sequence[str], numeric: Sequence[str], out_col: str = "features") -> list:
+    """Stages that one-hot ``categorical`` into sparse vectors and assemble them with ``numeric``.
+
+    The wide 0/1 frame is never built (hundreds of level columns would exceed whole-stage code
+    generation's field limit). Levels are sorted and none is dropped, as in ``encode.one_hot``.
+    When the training rows contain NULLs, NULL and unseen values share one extra "missing"
+    indicator after the real levels (the dense encoding gives all zeros instead; for a tree model
+    both carry the same information); otherwise they encode as all zeros.
+    """
+    idx = [f"{c}__idx" for c in categorical]
+    vec = [f"{c}__vec" for c in categorical]
+    stages = []
+    if categorical:
+        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
+                                    stringOrderType="alphabetAsc"))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=list(numeric) + vec, outputCol=out_col, handleInvalid="keep"))
+    return stages
+
+
+def fit_sparse(train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], estimator) -> PipelineModel:
+    """Fit ``estimator`` on sparse one-hot + numeric features (levels learned on ``train``)."""
+    return Pipeline(stages=sparse_encoder(categorical, numeric) + [estimator]).fit(train)
+
+
+def sparse_feature_names(model: PipelineModel, categorical: Sequence[str], numeric: Sequence[str]) -> list[str]:
+    """Feature names in vector order: numeric columns, then ``{column}_{level}`` per level."""
+    names = list(numeric)
+    if categorical:
+        indexer = model.stages[0]
+        encoder = model.stages[1]
+        for c, labels, size in zip(categorical, indexer.labelsArray, encoder.categorySizes):
+            names += [f"{c}_{lv}" for lv in labels] + [f"{c}_missing"] * (size - len(labels))
+    return names

@@ -148,20 +148,27 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
             .select(column, (F.col("n").cast("double") / total.cast("double")).alias("share")))
 
 
+def type_family(dtype) -> str:
+    if isinstance(dtype, (NumericType, BooleanType)):
+        return "numeric"
+    if isinstance(dtype, StringType):
+        return "categorical"
+    if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
+        return "datetime"
+    return "other"
+
+
 def type_family_counts(df: DataFrame) -> DataFrame:
-    """Columns per family (numeric, categorical, datetime, other), computed from the schema."""
-    fam = {"numeric": 0, "categorical": 0, "datetime": 0, "other": 0}
+    """Per type family (numeric, categorical, datetime, other): the number of columns (from the
+    schema) and the number of non-null cells (one pass over the data)."""
+    fams: dict[str, list[str]] = {}
     for f in df.schema.fields:
-        t = f.dataType
-        if isinstance(t, (NumericType, BooleanType)):
-            fam["numeric"] += 1
-        elif isinstance(t, StringType):
-            fam["categorical"] += 1
-        elif isinstance(t, (TimestampType, TimestampNTZType, DateType)):
-            fam["datetime"] += 1
-        else:
-            fam["other"] += 1
-    return df.sparkSession.createDataFrame(sorted(fam.items()), "family string, n int")
+        fams.setdefault(type_family(f.dataType), []).append(f.name)
+    counts = df.agg(*[sum((F.count(F.col(c)) for c in cols), F.lit(0)).cast("bigint").alias(fam)
+                      for fam, cols in fams.items()])
+    pairs = F.array(*[F.struct(F.lit(fam).alias("family"), F.lit(len(cols)).alias("columns"),
+                               F.col(fam).alias("non_null_cells")) for fam, cols in sorted(fams.items())])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
 
 
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 10) -> DataFrame:

@@ -60,3 +60,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="firstbasket-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def cluster_settings(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings to apply on a cluster for a run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions start at roughly one per ``target_partition_bytes`` of input (at least
+    three waves of the available cores) and AQE coalesces them from measured sizes; skewed
+    partitions (five times the median and over 256 MB) are split by AQE's skew join.
+    """
+    partitions = max(3 * executor_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -9,7 +9,8 @@ reads it back, which both checkpoints the lineage and survives executor loss.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 CSV_OPTIONS = {
     "header": "true",
@@ -23,9 +24,21 @@ CSV_OPTIONS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """CSV with a header line whose names are ignored: columns bind to ``schema`` by position."""
+    """CSV with a header line whose names are ignored: columns bind to ``schema`` by position.
+    Floating-point NaN is turned into NULL (in Spark ``NaN >= 1`` is true, so a NaN would pass
+    threshold flags that a missing value must fail)."""
     opts = dict(CSV_OPTIONS, **{k: str(v) for k, v in options.items()})
-    return spark.read.options(**opts).schema(schema).csv(path)
+    return nan_to_null(spark.read.options(**opts).schema(schema).csv(path))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            cols.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -48,3 +61,20 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     table: the create-table-as-select step, and a lineage cut that outlives executors."""
     write_parquet(df, path)
     return df.sparkSession.read.parquet(path)
+
+
+def use_namespace(spark: SparkSession, name: str) -> str:
+    """CREATE DATABASE IF NOT EXISTS + USE (the schema the tables live in)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    spark.catalog.setCurrentDatabase(name)
+    return name
+
+
+def save_table(df: DataFrame, name: str, namespace: str | None = None, partition_by=None) -> str:
+    """Create-or-replace a catalog table from ``df`` (CREATE TABLE AS SELECT, drop-and-recreate)."""
+    full = f"`{namespace}`.`{name}`" if namespace else f"`{name}`"
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(full)
+    return full

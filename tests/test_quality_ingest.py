@@ -22,3 +22,41 @@ def test_csv_positional_binding_with_multiline_text(spark, tmp_path):
     r = df.first()
     assert df.columns == schemas.ORDER_REVIEWS.fieldNames()
     assert r["order_id"] == "o1" and r["review_score"] == 5 and "line two" in r["review_comment_message"]
+
+
+def test_sparse_encoder_matches_dense_one_hot(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml import Pipeline
+
+    from firstbasket.operators import encode, model
+    df = spark.createDataFrame([(1, "b", 2.0), (2, "a", 3.0), (3, None, 4.0)], "id int, c string, x double")
+    pm = Pipeline(stages=model.sparse_encoder(["c"], ["x"])).fit(df)
+    got = {r["id"]: r["v"] for r in pm.transform(df).select("id", vector_to_array("features").alias("v")).collect()}
+    dense = {r["id"]: [r["x"], r["c_a"], r["c_b"]] for r in encode.one_hot(df, ["c"]).collect()}
+    assert {k: v[:3] for k, v in got.items()} == {k: [float(v) for v in vals] for k, vals in dense.items()}
+    assert [v[3] for _, v in sorted(got.items())] == [0.0, 0.0, 1.0]
+    assert model.sparse_feature_names(pm, ["c"], ["x"]) == ["x", "c_a", "c_b", "c_missing"]
+    unseen = spark.createDataFrame([(9, "zzz", 1.0)], "id int, c string, x double")
+    assert pm.transform(unseen).select(vector_to_array("features").alias("v")).first()["v"] == [1.0, 0.0, 0.0, 1.0]
+
+
+def test_param_draws_are_distinct_and_seeded():
+    from firstbasket.operators import model
+    a, b = model.param_draws(30, 42), model.param_draws(30, 42)
+    assert a == b and len({tuple(d.items()) for d in a}) == 30
+    assert all(d["max_depth"] in (3, 4, 5, 6) for d in a)
+
+
+def test_nan_becomes_null_on_ingest(spark, tmp_path):
+    from pyspark.sql.types import DoubleType, StructField, StructType
+    path = tmp_path / "x.csv"
+    path.write_text("a\nNaN\n1.5\n")
+    df = files.read_csv(spark, str(path), StructType([StructField("a", DoubleType())]))
+    assert sorted([r["a"] for r in df.collect()], key=lambda v: (v is not None, v)) == [None, 1.5]
+
+
+def test_save_table_in_namespace(spark, tmp_path):
+    files.use_namespace(spark, "fb_test")
+    name = files.save_table(spark.range(3), "t", "fb_test")
+    assert spark.table(name).count() == 3
+    spark.catalog.setCurrentDatabase("default")

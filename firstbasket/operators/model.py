@@ -125,23 +125,26 @@ def fit(train: DataFrame, label: str, features: Sequence[str], estimator) -> Pip
 
 
 def tune(train: DataFrame, label: str, features: Sequence[str], estimator: GBTClassifier,
-         draws: Sequence[dict], fold_col: str = "fold", parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
-    """Random search with cross-validation on a fold column, scored by ROC-AUC; returns the model
-    refitted on all training rows with the best parameters, and one row per candidate."""
+         draws: Sequence[dict], fold_col: str = "fold", parallelism: int = 4,
+         prep: Sequence | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Random search with cross-validation on a fold column, scored by ROC-AUC; returns the
+    pipeline refitted on all training rows with the best parameters, and one row per candidate.
+
+    ``prep`` are the feature stages (default: assemble ``features``; pass ``sparse_encoder(...)``
+    for sparse one-hot input); they are refitted inside every fold.
+    """
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                               metricName="areaUnderROC")
     maps = param_maps(estimator, draws)
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol=fold_col, parallelism=parallelism, seed=estimator.getSeed())
-    assembled = assemble(features).transform(train)
-    cv_model = cv.fit(assembled)
+    stages = list(prep) if prep is not None else [assemble(features)]
+    cv = CrossValidator(estimator=Pipeline(stages=stages + [estimator]), estimatorParamMaps=maps,
+                        evaluator=evaluator, foldCol=fold_col, parallelism=parallelism, seed=estimator.getSeed())
+    cv_model = cv.fit(train)
     spark = train.sparkSession
-    rows = [(i, *[float(v) if isinstance(v, (int, float)) else None for v in draws[i].values()],
-             float(m)) for i, m in enumerate(cv_model.avgMetrics)]
-    names = ["candidate"] + list(draws[0].keys()) + ["mean_cv_auc"] if draws else ["candidate", "mean_cv_auc"]
-    results = spark.createDataFrame(rows, names)
-    best = PipelineModel(stages=[assemble(features), cv_model.bestModel])
-    return best, results
+    keys = list(draws[0].keys()) if draws else []
+    rows = [(i, *[float(draws[i][k]) for k in keys], float(m)) for i, m in enumerate(cv_model.avgMetrics)]
+    results = spark.createDataFrame(rows, ["candidate"] + keys + ["mean_cv_auc"])
+    return cv_model.bestModel, results
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], label: str | None = None) -> DataFrame:

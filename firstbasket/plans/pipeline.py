@@ -31,20 +31,25 @@ def run(spark: SparkSession, src: Sources, cfg: Config, out_dir: str | None = No
     if export_csv:
         paths["bi_extract"] = files.write_csv(bi, f"{out}/bi_extract_csv")
 
-    cleaned = files.materialize(clean.clean_abt(abt, keep=(PERSON,)), f"{out}/abt_clean")
-    paths["abt_clean"] = f"{out}/abt_clean"
     if export_csv:
-        paths["abt_clean_csv"] = files.write_csv(cleaned.drop(PERSON), f"{out}/abt_clean_csv")
+        # The wide one-hot set is an export for analysts; training uses sparse vectors instead.
+        wide = clean.clean_abt(abt)
+        paths["abt_clean_csv"] = files.write_csv(wide, f"{out}/abt_clean_csv")
+    cleaned = files.materialize(clean.clean_abt(abt, keep=(PERSON,), one_hot_columns=()), f"{out}/abt_clean")
+    paths["abt_clean"] = f"{out}/abt_clean"
 
     flagged = split.stratified_split(cleaned, LABEL, PERSON, cfg.test_share, cfg.seed)
-    features = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test"))
-    prepared = model.prepare(flagged, LABEL, features)
+    categorical = list(clean.CATEGORICAL)
+    numeric = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test"))
+    prepared = model.prepare(flagged, LABEL, numeric)
     train = model.with_class_weight(prepared.where(F.col("is_test") == 0), LABEL)
     test = prepared.where(F.col("is_test") == 1)
     folded = split.stratified_folds(train, LABEL, PERSON, cfg.folds, cfg.seed)
     est = model.gbt(LABEL, max_iter=trees, seed=cfg.seed)
-    best, search = model.tune(folded, LABEL, features, est, model.param_draws(draws, cfg.seed))
+    best, search = model.tune(folded, LABEL, numeric, est, model.param_draws(draws, cfg.seed),
+                              prep=model.sparse_encoder(categorical, numeric))
     paths["search"] = files.write_parquet(search, f"{out}/search")
+    features = model.sparse_feature_names(best, categorical, numeric)
 
     scores: DataFrame = files.materialize(model.score(best, test, [PERSON], LABEL), f"{out}/scores")
     paths["scores"] = f"{out}/scores"

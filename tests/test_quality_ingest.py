@@ -60,3 +60,16 @@ def test_save_table_in_namespace(spark, tmp_path):
     name = files.save_table(spark.range(3), "t", "fb_test")
     assert spark.table(name).count() == 3
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_pipeline_end_to_end_smallest_tables(spark, tmp_path):
+    from firstbasket.config import DEFAULT
+    from firstbasket.plans import pipeline
+    from firstbasket.plans.sources import testbed_sources
+    paths = pipeline.run(spark, testbed_sources(spark, "/root/testdata/sf0.001"), DEFAULT, str(tmp_path / "run"),
+                         trees=3, draws=2)
+    lift = spark.read.parquet(paths["lift"]).collect()
+    assert sum(r["customers"] for r in lift) == spark.read.parquet(paths["scores"]).count()
+    assert spark.read.parquet(paths["abt"]).count() == 137
+    imp = spark.read.parquet(paths["importance"]).collect()
+    assert any(r["feature"].startswith("customer_state_") for r in imp)

@@ -1,9 +1,11 @@
 """First-order feature frames: delivery timing, basket, review, payment, dominant category, state.
 
-Every frame is keyed by ``first_order_id``. The order-grain inputs (items, payments, reviews) are
-first reduced to the first orders with a left-semi join on the spine's order ids, then aggregated
-per order; the semi-join and the aggregate share one hash partitioning on the order id, and the
-final assembly joins on the same key, so the spine is shuffled once for all of them.
+Every frame is keyed by ``first_order_id``. Item and payment rows are aggregated per order
+first: the aggregate combines partially on the map side, so only about one row per order and map
+task crosses the shuffle, instead of every line. The spine then keeps its first orders with a
+left join on the order id (the aggregate's output is already hash-partitioned by it). A
+left-semi join would be pushed below the aggregate by the optimizer and shuffle the full lines
+again, which is why the restriction is a join from the spine side.
 """
 
 from __future__ import annotations
@@ -53,17 +55,16 @@ def translated_products(products: DataFrame, translation: DataFrame) -> DataFram
     return products.select("product_id", "product_category_name").join(t, "product_category_name", "inner")
 
 
-def first_order_baskets(spine: DataFrame, items: DataFrame, products: DataFrame,
-                        translation: DataFrame) -> DataFrame:
-    """Per first order, in one aggregate: item count, price sum, freight/price ratio, and the
-    translated category of the highest-priced translated item.
+def order_baskets(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """Per order, in one aggregate: item count, price sum, freight/price ratio, and the translated
+    category of the highest-priced translated item.
 
     ``min_by`` over a struct key replaces a row_number window: it aggregates partially on the map
-    side, so an order with very many items is never gathered in one task.
+    side, so an order with very many items is never gathered in one task. The product lookup is a
+    plain join; AQE broadcasts the translated products when they are small.
     """
-    first_items = restrict_to_first_orders(
-        items.select(ORDER, "order_item_id", "product_id", "seller_id", "price", "freight_value"), spine)
-    tagged = first_items.join(translated_products(products, translation), "product_id", "left")
+    lines = items.select(ORDER, "order_item_id", "product_id", "seller_id", "price", "freight_value")
+    tagged = lines.join(translated_products(products, translation), "product_id", "left")
     return tagged.groupBy(ORDER).agg(
         F.count("order_item_id").alias("first_order_item_count"),
         F.sum("price").alias("first_order_price"),
@@ -73,10 +74,16 @@ def first_order_baskets(spine: DataFrame, items: DataFrame, products: DataFrame,
     )
 
 
+def first_order_baskets(spine: DataFrame, items: DataFrame, products: DataFrame,
+                        translation: DataFrame) -> DataFrame:
+    """:func:`order_baskets` of the spine's first orders (keyed ``order_id``)."""
+    keys = first_order_ids(spine)
+    return keys.join(order_baskets(items, products, translation), ORDER, "inner")
+
+
 def item_features(spine: DataFrame, items: DataFrame) -> DataFrame:
     """COUNT / SUM / ratio of the first order's items; 0 items and NULL sums when it has none."""
-    first_items = restrict_to_first_orders(items.select(ORDER, "order_item_id", "price", "freight_value"), spine)
-    agg = first_items.groupBy(ORDER).agg(
+    agg = items.select(ORDER, "order_item_id", "price", "freight_value").groupBy(ORDER).agg(
         F.count("order_item_id").alias("first_order_item_count"),
         F.sum("price").alias("first_order_price"),
         safe_ratio(F.sum("freight_value"), F.sum("price")).alias("freight_price_ratio"))
@@ -113,14 +120,18 @@ def review_features(spine: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def payment_aggregates(spine: DataFrame, payments: DataFrame) -> DataFrame:
-    """Per first order: most frequent payment type (ties -> smallest), max installments, max
+    """Per order (the spine's left join keeps the first orders): most frequent payment type (ties -> smallest), max installments, max
     sequence number, and whether more than one type was used.
 
     ``min(type) < max(type)`` is the same test as ``count(DISTINCT type) > 1`` but needs no
     distinct-aggregate expansion (no Expand, no second shuffle).
     """
-    p = restrict_to_first_orders(
-        payments.select(ORDER, "payment_type", "payment_installments", "payment_sequential"), spine)
+    return order_payments(payments)
+
+
+def order_payments(payments: DataFrame) -> DataFrame:
+    """Per-order payment aggregates (see :func:`payment_aggregates`)."""
+    p = payments.select(ORDER, "payment_type", "payment_installments", "payment_sequential")
     return p.groupBy(ORDER).agg(
         F.mode("payment_type", True).alias("primary_payment_type"),
         F.max("payment_installments").alias("count_payment_installments"),

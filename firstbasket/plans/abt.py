@@ -68,10 +68,9 @@ def build_abt(src: Sources, cfg: Config, checkpoint: bool = True) -> DataFrame:
     whole frame in each branch (their column sets differ, so exchanges are not reused).
     """
     base = labelled_spine(src, cfg)
-    baskets = (features.first_order_baskets(base, src.order_items, src.products, src.category_translation)
+    baskets = (features.order_baskets(src.order_items, src.products, src.category_translation)
                .withColumnRenamed("order_id", "first_order_id"))
-    payments = (features.payment_aggregates(base, src.order_payments)
-                .withColumnRenamed("order_id", "first_order_id"))
+    payments = features.order_payments(src.order_payments).withColumnRenamed("order_id", "first_order_id")
     reviews = src.order_reviews.select(
         F.col("order_id").alias("first_order_id"), "review_score", "review_comment_message",
         "review_creation_date", "review_answer_timestamp")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import days_between, flag, not_null_flag, safe_ratio
+from ..sources.dimensions import bounded_broadcast
 from .cohort import DELIVERED, ESTIMATED, PERSON
 
 ORDER = "order_id"
@@ -49,6 +50,11 @@ def _dominant_key() -> "F.Column":
                            F.col("order_item_id"), F.col("product_id"), F.col("seller_id")))
 
 
+# Largest product dimension that is broadcast to the line items (about 100 MB of rows); above it
+# the lookup is a shuffle join on the product id.
+PRODUCT_BROADCAST_ROWS = 2_000_000
+
+
 def translated_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products whose category has a translation (inner join: the others vanish)."""
     t = translation.select("product_category_name", "product_category_name_english")
@@ -61,10 +67,13 @@ def order_baskets(items: DataFrame, products: DataFrame, translation: DataFrame)
 
     ``min_by`` over a struct key replaces a row_number window: it aggregates partially on the map
     side, so an order with very many items is never gathered in one task. The product lookup is a
-    plain join; AQE broadcasts the translated products when they are small.
+    broadcast join when the translated product dimension has at most ``PRODUCT_BROADCAST_ROWS``
+    rows (checked by a bounded count), so the lines are never shuffled by product; above the
+    bound it is a shuffle join.
     """
     lines = items.select(ORDER, "order_item_id", "product_id", "seller_id", "price", "freight_value")
-    tagged = lines.join(translated_products(products, translation), "product_id", "left")
+    lookup = bounded_broadcast(translated_products(products, translation), PRODUCT_BROADCAST_ROWS)
+    tagged = lines.join(lookup, "product_id", "left")
     return tagged.groupBy(ORDER).agg(
         F.count("order_item_id").alias("first_order_item_count"),
         F.sum("price").alias("first_order_price"),

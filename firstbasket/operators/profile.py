@@ -192,19 +192,21 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 1
 
 def label_correlation(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of each numeric column with ``label`` over rows where both are present;
-    NULL when either side is constant there (ANSI-safe: ``try_divide``). Rounded to 6 places."""
-    columns = [c for c in (columns or numeric_columns(df)) if c != label]
-    y = F.col(label).cast("double")
-
-    def corr(c: str) -> Column:
-        x = F.col(c).cast("double")
-        xp = F.when(y.isNotNull(), x)
-        yp = F.when(x.isNotNull(), y)
-        return F.round(F.try_divide(F.covar_samp(xp, yp), F.stddev_samp(xp) * F.stddev_samp(yp)), ROUND)
+    NULL when either side is constant there (ANSI-safe: ``try_divide``). Rounded to 6 places.
 
-    wide = df.agg(*[corr(c).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in columns])
-    return wide.select(F.explode(pairs).alias("p")).select("p.*")
+    The frame is reshaped to (feature, x, y) and grouped by feature: three aggregate functions
+    regardless of the width (one wide aggregate with three functions per column falls out of
+    whole-stage code generation once there are dozens of one-hot columns); partial aggregation
+    leaves one row per feature and map task to shuffle.
+    """
+    columns = [c for c in (columns or numeric_columns(df)) if c != label]
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])
+    long = (df.select(F.col(label).cast("double").alias("y"), F.explode(pairs).alias("p"))
+            .select("p.feature", "p.x", "y"))
+    xp = F.when(F.col("y").isNotNull(), F.col("x"))
+    yp = F.when(F.col("x").isNotNull(), F.col("y"))
+    corr = F.try_divide(F.covar_samp(xp, yp), F.stddev_samp(xp) * F.stddev_samp(yp))
+    return long.groupBy("feature").agg(F.round(corr, ROUND).alias("corr"))
 
 
 def correlation_extremes(corr: DataFrame, k: int = 10) -> DataFrame:

@@ -32,8 +32,20 @@ def register(name: str):
 
 # ---------------------------------------------------------------- shared building blocks
 
+_PLAN_CACHE: dict = {}
+
+
+def _memo(kind: str, spark, sf_dir, build):
+    """Reuse lazily built source plans within one Spark application (plans only: nothing is
+    computed or cached, every query still reads and processes the whole tables)."""
+    key = (kind, spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _PLAN_CACHE:
+        _PLAN_CACHE[key] = build()
+    return _PLAN_CACHE[key]
+
+
 def _roles(spark, sf_dir) -> testbed.Roles:
-    return testbed.Roles(spark, sf_dir)
+    return _memo("roles", spark, sf_dir, lambda: testbed.Roles(spark, sf_dir))
 
 
 def _delivered(spark, sf_dir) -> DataFrame:
@@ -50,8 +62,12 @@ def _label(spark, sf_dir) -> DataFrame:
     return cohort.reorder_label(cohort.first_order_spine(d, CFG), d, CFG)
 
 
+def _sources(spark, sf_dir):
+    return _memo("sources", spark, sf_dir, lambda: testbed_sources(spark, sf_dir, _roles(spark, sf_dir)))
+
+
 def _abt(spark, sf_dir) -> DataFrame:
-    return abt_plan.build_abt(testbed_sources(spark, sf_dir), CFG)
+    return abt_plan.build_abt(_sources(spark, sf_dir), CFG)
 
 
 def _bi(spark, sf_dir) -> DataFrame:
@@ -108,7 +124,7 @@ def q_item_features(spark, sf_dir):
 
 @register("review_features")
 def q_review_features(spark, sf_dir):
-    src = testbed_sources(spark, sf_dir)
+    src = _sources(spark, sf_dir)
     return features.review_features(_spine(spark, sf_dir), src.order_reviews)
 
 
@@ -119,13 +135,13 @@ def q_payment_features(spark, sf_dir):
 
 @register("dominant_category")
 def q_dominant_category(spark, sf_dir):
-    src = testbed_sources(spark, sf_dir)
+    src = _sources(spark, sf_dir)
     return features.dominant_category(_spine(spark, sf_dir), src.order_items, src.products,
                                       src.category_translation)
 
 
 def _category_label(spark, sf_dir) -> DataFrame:
-    src = testbed_sources(spark, sf_dir)
+    src = _sources(spark, sf_dir)
     lab = _label(spark, sf_dir)
     cat = features.dominant_category(lab, src.order_items, src.products, src.category_translation)
     return cat.join(lab.select(PERSON, "first_order_id", "reordered_180d"), [PERSON, "first_order_id"], "inner")
@@ -138,7 +154,7 @@ def q_category_reorder_rate(spark, sf_dir):
 
 @register("category_features")
 def q_category_features(spark, sf_dir):
-    src = testbed_sources(spark, sf_dir)
+    src = _sources(spark, sf_dir)
     lab = _label(spark, sf_dir)
     cat = features.dominant_category(lab, src.order_items, src.products, src.category_translation)
     rates = encode.group_rate(_category_label(spark, sf_dir), "first_order_category", "reordered_180d", "category")

@@ -21,8 +21,8 @@ def patched_translation(roles: testbed.Roles):
     return patch_rows(roles.category_translation, testbed.TRANSLATION_PATCH)
 
 
-def testbed_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    roles = testbed.Roles(spark, sf_dir)
+def testbed_sources(spark: SparkSession, sf_dir: str, roles: testbed.Roles | None = None) -> Sources:
+    roles = roles or testbed.Roles(spark, sf_dir)
     return Sources(
         customers=roles.customers,
         orders=roles.orders,

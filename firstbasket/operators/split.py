@@ -36,12 +36,21 @@ def _ceil_share(n: Column, share: float) -> Column:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42,
-                     out_col: str = "is_test") -> DataFrame:
-    """``out_col`` = 1 for the first ``ceil(test_share * n_label)`` rows of each label in hash order."""
+                     out_col: str = "is_test", folds: int | None = None, fold_col: str = "fold") -> DataFrame:
+    """``out_col`` = 1 for the first ``ceil(test_share * n_label)`` rows of each label in hash order.
+
+    With ``folds``, training rows also get ``fold_col`` from the same pass: they are the label's
+    rows after the test block, so their rank among training rows is ``rank - n_test`` and the fold
+    is that rank modulo ``folds`` (exactly what :func:`stratified_folds` gives on the training
+    rows, without a second ranking). Test rows get a NULL fold.
+    """
     ranked = rank_within_label(df, label, key, seed)
-    return (ranked.withColumn(out_col, (F.col("label_rank") < _ceil_share(F.col("label_rows"), test_share))
-                              .cast("int"))
-            .drop("label_rank", "label_rows"))
+    n_test = _ceil_share(F.col("label_rows"), test_share)
+    out = ranked.withColumn(out_col, (F.col("label_rank") < n_test).cast("int"))
+    if folds:
+        out = out.withColumn(fold_col, F.when(F.col(out_col) == 0,
+                                              ((F.col("label_rank") - n_test) % F.lit(int(folds))).cast("int")))
+    return out.drop("label_rank", "label_rows")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 3, seed: int = 42,

@@ -481,8 +481,9 @@ def q_stratified_split(spark, sf_dir):
 
 @register("stratified_folds")
 def q_stratified_folds(spark, sf_dir):
-    train = _split(spark, sf_dir).where(F.col("is_test") == 0).select(PERSON, LABEL)
-    return split.stratified_folds(train, LABEL, PERSON, CFG.folds, CFG.seed)
+    a = _abt(spark, sf_dir).select(PERSON, LABEL)
+    flagged = split.stratified_split(a, LABEL, PERSON, CFG.test_share, CFG.seed, folds=CFG.folds)
+    return flagged.where(F.col("is_test") == 0).select(PERSON, LABEL, "fold")
 
 
 @register("imbalance_ratio")
@@ -559,8 +560,8 @@ CHECK_DRAWS = 2
 
 def _model_sets(spark, sf_dir):
     cleaned = _clean(spark, sf_dir, keep=(PERSON,))
-    flagged = split.stratified_split(cleaned, LABEL, PERSON, CFG.test_share, CFG.seed)
-    features = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test"))
+    flagged = split.stratified_split(cleaned, LABEL, PERSON, CFG.test_share, CFG.seed, folds=CFG.folds)
+    features = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test", "fold"))
     prepared = model.prepare(flagged, LABEL, features)
     train = model.with_class_weight(prepared.where(F.col("is_test") == 0), LABEL)
     test = prepared.where(F.col("is_test") == 1)
@@ -583,8 +584,7 @@ def q_train_logistic(spark, sf_dir):
 
 @register("tune_classifier")
 def q_tune_classifier(spark, sf_dir):
-    train, _, features = _model_sets(spark, sf_dir)
-    folded = split.stratified_folds(train, LABEL, PERSON, CFG.folds, CFG.seed)
+    folded, _, features = _model_sets(spark, sf_dir)
     est = model.gbt(LABEL, max_iter=CHECK_TREES, seed=CFG.seed)
     _, results = model.tune(folded, LABEL, features, est, model.param_draws(CHECK_DRAWS, CFG.seed))
     return results

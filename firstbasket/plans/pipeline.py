@@ -38,15 +38,14 @@ def run(spark: SparkSession, src: Sources, cfg: Config, out_dir: str | None = No
     cleaned = files.materialize(clean.clean_abt(abt, keep=(PERSON,), one_hot_columns=()), f"{out}/abt_clean")
     paths["abt_clean"] = f"{out}/abt_clean"
 
-    flagged = split.stratified_split(cleaned, LABEL, PERSON, cfg.test_share, cfg.seed)
+    flagged = split.stratified_split(cleaned, LABEL, PERSON, cfg.test_share, cfg.seed, folds=cfg.folds)
     categorical = list(clean.CATEGORICAL)
-    numeric = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test"))
+    numeric = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test", "fold"))
     prepared = model.prepare(flagged, LABEL, numeric)
     train = model.with_class_weight(prepared.where(F.col("is_test") == 0), LABEL)
     test = prepared.where(F.col("is_test") == 1)
-    folded = split.stratified_folds(train, LABEL, PERSON, cfg.folds, cfg.seed)
     est = model.gbt(LABEL, max_iter=trees, seed=cfg.seed)
-    best, search = model.tune(folded, LABEL, numeric, est, model.param_draws(draws, cfg.seed),
+    best, search = model.tune(train, LABEL, numeric, est, model.param_draws(draws, cfg.seed),
                               prep=model.sparse_encoder(categorical, numeric))
     paths["search"] = files.write_parquet(search, f"{out}/search")
     features = model.sparse_feature_names(best, categorical, numeric)

@@ -22,15 +22,17 @@ def keep_latest(df: DataFrame, key: str = "order_id", ts: str = "review_answer_t
     return kept.select(*order)
 
 
-def duplicate_rows(df: DataFrame, key: str = "order_id") -> DataFrame:
-    """All members of groups whose key occurs more than once, with the group size.
+def duplicate_rows(df: DataFrame, key: str = "order_id", sort_by: str | None = None) -> DataFrame:
+    """All members of groups whose key occurs more than once, with the group size; ``sort_by``
+    orders them for display (ascending, missing values last).
 
     The group sizes are counted with a partial aggregate and joined back on the key (AQE splits a
     hot key's partition), instead of a count window that would gather a whole group in one task.
     """
     sizes = (df.groupBy(key).agg(F.count(F.lit(1)).alias("duplicate_count"))
              .where(F.col("duplicate_count") > 1))
-    return df.join(sizes, key, "inner")
+    out = df.join(sizes, key, "inner")
+    return out.orderBy(F.col(sort_by).asc_nulls_last(), F.col(key)) if sort_by else out
 
 
 def duplicate_key_counts(df: DataFrame, key: str = "order_id", k: int = 5) -> DataFrame:

@@ -38,7 +38,11 @@ _PLAN_CACHE: dict = {}
 def _memo(kind: str, spark, sf_dir, build):
     """Reuse lazily built source plans within one Spark application (plans only: nothing is
     computed or cached, every query still reads and processes the whole tables)."""
-    key = (kind, spark.sparkContext.applicationId, id(spark), sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        app = spark.conf.get("spark.app.id", "")
+    key = (kind, app, id(spark), sf_dir)
     if key not in _PLAN_CACHE:
         _PLAN_CACHE[key] = build()
     return _PLAN_CACHE[key]
@@ -249,7 +253,7 @@ def q_review_dedup(spark, sf_dir):
 
 @register("duplicate_rows")
 def q_duplicate_rows(spark, sf_dir):
-    return dedup.duplicate_rows(_roles(spark, sf_dir).order_reviews_raw, "order_id")
+    return dedup.duplicate_rows(_roles(spark, sf_dir).order_reviews_raw, "order_id", sort_by="review_answer_timestamp")
 
 
 @register("duplicate_key_counts")

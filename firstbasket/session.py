@@ -49,16 +49,23 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster, or a local scratch folder in tests."""
-    current = spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``), or a local
+    scratch folder when the setting is unset (local tests and benches only)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="firstbasket-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 

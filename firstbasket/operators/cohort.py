@@ -10,6 +10,8 @@ join splits a hot person's partition, and the aggregate that follows is again pa
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,12 +58,16 @@ def first_order_spine(delivered: DataFrame, cfg: Config) -> DataFrame:
     """One row per person: the earliest delivered order (ties broken by order id), kept only when it
     was placed on or before the cut-off so that a full horizon follows it.
 
-    Orders without a purchase time never rank first (NULLS LAST), which is why they are filtered
-    before the minimum is taken.
+    Orders without a purchase time never rank first (NULLS LAST). The cut-off is applied before
+    the minimum: when a person's earliest purchase is on or before the cut-off it is also the
+    earliest among their purchases on or before it, and persons without such a purchase are
+    excluded either way. So later orders are never shuffled for the spine, and the bound reaches
+    the scan as a pushed filter.
     """
     first = F.min(F.struct(F.col(PURCHASE), F.col("order_id"), F.col("customer_id"),
                            F.col("customer_state"), F.col(DELIVERED), F.col(ESTIMATED)))
-    return (delivered.where(F.col(PURCHASE).isNotNull())
+    return (delivered.where(F.col(PURCHASE).isNotNull()
+                            & (F.col(PURCHASE) <= ts_literal(cfg.first_order_cutoff)))
             .groupBy(PERSON).agg(first.alias("f"))
             .select(PERSON,
                     F.col("f.customer_id").alias("customer_id"),
@@ -69,8 +75,7 @@ def first_order_spine(delivered: DataFrame, cfg: Config) -> DataFrame:
                     F.col(f"f.{PURCHASE}").alias("first_order_timestamp"),
                     F.col("f.customer_state").alias("customer_state"),
                     F.col(f"f.{DELIVERED}").alias(DELIVERED),
-                    F.col(f"f.{ESTIMATED}").alias(ESTIMATED))
-            .where(F.col("first_order_timestamp") <= ts_literal(cfg.first_order_cutoff)))
+                    F.col(f"f.{ESTIMATED}").alias(ESTIMATED)))
 
 
 def _reorder_condition(cfg: Config):
@@ -104,7 +109,11 @@ def reorder_label(spine: DataFrame, delivered: DataFrame, cfg: Config) -> DataFr
     they are reduced to one row per person by a partial aggregate before the left join back to
     the spine.
     """
-    o, s = _order_times(delivered), _spine_anchor(spine)
+    # A repeat purchase falls at most the horizon after a first order that is itself on or before
+    # the cut-off, so later purchases cannot match (a pushed filter on the scan).
+    latest = ts_literal(cfg.first_order_cutoff + timedelta(days=int(cfg.horizon_days)))
+    o = _order_times(delivered.where(F.col(PURCHASE) <= latest)).alias("o")
+    s = _spine_anchor(spine)
     hits = (o.join(s, (F.col(f"o.{PERSON}") == F.col(f"s.{PERSON}")) & _reorder_condition(cfg), "inner")
             .groupBy(F.col(f"o.{PERSON}").alias(PERSON)).agg(F.lit(1).alias("reordered_180d")))
     return (spine.join(hits, PERSON, "left")

@@ -24,11 +24,6 @@ def first_order_ids(spine: DataFrame) -> DataFrame:
     return spine.select(F.col("first_order_id").alias(ORDER))
 
 
-def restrict_to_first_orders(df: DataFrame, spine: DataFrame) -> DataFrame:
-    """Rows of an order-grain table that belong to some person's first order."""
-    return df.join(first_order_ids(spine), ORDER, "left_semi")
-
-
 def delivery_features(spine: DataFrame) -> DataFrame:
     """Days from purchase to delivery and delivery minus estimate (fractional days).
 

@@ -18,7 +18,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -10,7 +10,6 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,

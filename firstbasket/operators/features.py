@@ -71,7 +71,7 @@ def order_baskets(items: DataFrame, products: DataFrame, translation: DataFrame)
     tagged = lines.join(lookup, "product_id", "left")
     return tagged.groupBy(ORDER).agg(
         F.count("order_item_id").alias("first_order_item_count"),
-        F.sum("price").alias("first_order_price"),
+        F.sum("price").cast("decimal(38,2)").alias("first_order_price"),
         safe_ratio(F.sum("freight_value"), F.sum("price")).alias("freight_price_ratio"),
         F.min_by("product_category_name", _dominant_key()).alias("first_order_category_portuguese"),
         F.min_by("product_category_name_english", _dominant_key()).alias("first_order_category"),
@@ -89,7 +89,7 @@ def item_features(spine: DataFrame, items: DataFrame) -> DataFrame:
     """COUNT / SUM / ratio of the first order's items; 0 items and NULL sums when it has none."""
     agg = items.select(ORDER, "order_item_id", "price", "freight_value").groupBy(ORDER).agg(
         F.count("order_item_id").alias("first_order_item_count"),
-        F.sum("price").alias("first_order_price"),
+        F.sum("price").cast("decimal(38,2)").alias("first_order_price"),
         safe_ratio(F.sum("freight_value"), F.sum("price")).alias("freight_price_ratio"))
     return (spine.select(PERSON, "first_order_id")
             .join(agg.withColumnRenamed(ORDER, "first_order_id"), "first_order_id", "left")

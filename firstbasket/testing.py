@@ -65,3 +65,22 @@ def compare(sp: pd.DataFrame, db: pd.DataFrame):
             diff = [(c, x, y) for c, x, y in zip(sc, r, s) if not close(x, y, 0.0)]
             return ("NEAR" if near else "VALUES"), f"first diff: {diff[:4]}"
     return "VALUES", ""
+
+
+_SQL_NAMES = {
+    "LongType()": "BIGINT", "IntegerType()": "INTEGER", "ShortType()": "SMALLINT", "ByteType()": "TINYINT",
+    "DoubleType()": "DOUBLE", "FloatType()": "FLOAT", "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN",
+    "TimestampNTZType()": "TIMESTAMP", "DateType()": "DATE",
+}
+
+
+def type_mismatches(spark_schema, duck_columns, duck_types) -> list[tuple[str, str, str]]:
+    """(column, Spark type, DuckDB type) for every column whose types differ."""
+    duck = dict(zip(duck_columns, [str(t) for t in duck_types]))
+    out = []
+    for f in spark_schema.fields:
+        s = str(f.dataType)
+        name = _SQL_NAMES.get(s, s.replace("DecimalType(", "DECIMAL("))
+        if duck.get(f.name) != name:
+            out.append((f.name, s, duck.get(f.name)))
+    return out

@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from firstbasket.sources.testbed import TABLES
-from firstbasket.testing import compare
+from firstbasket.testing import compare, type_mismatches
 
 SMOKE = "/root/testdata/sf0.001"
 QUICK = ("first_order_spine", "reorder_label", "abt", "kpi_state", "review_dedup", "stratified_split", "lift_table")
@@ -24,7 +24,9 @@ def test_matches_duckdb_on_smallest_tables(spark, name):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
-    sp = E.queries()[name](spark, SMOKE).toPandas()
-    db = con.sql(E.oracle_sql()[name]).df()
+    sdf = E.queries()[name](spark, SMOKE)
+    rel = con.sql(E.oracle_sql()[name])
+    assert type_mismatches(sdf.schema, rel.columns, rel.types) == []
+    sp, db = sdf.toPandas(), rel.df()
     status, detail = compare(sp, db)
     assert status in ("PASS", "NEAR"), f"{name}: {status} {detail}"

@@ -405,7 +405,8 @@ def q_histogram(spark, sf_dir):
 
 @register("preview")
 def q_preview(spark, sf_dir):
-    return _abt(spark, sf_dir).limit(5)
+    """The first rows of the base table in its stored order (by person): a top-k, not a sample."""
+    return _abt(spark, sf_dir).orderBy(PERSON).limit(5)
 
 
 @register("impute_flags")

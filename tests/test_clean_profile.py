@@ -55,3 +55,10 @@ def test_patch_and_fill(spark):
     assert patch_rows(tr, [("y", "Y"), ("x", "X2")], replace=True).count() == 2
     p = spark.createDataFrame([("1", None)], "product_id string, product_category_name string")
     assert fill_unknown(p).first()["product_category_name"] == "unknown_category"
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    df = spark.range(2000).selectExpr("cast(id as double) as v")
+    exact = {r["prob"]: r["value"] for r in profile.exact_quantiles(df, ["v"], [0.25, 0.5]).collect()}
+    approx = {r["prob"]: r["value"] for r in profile.approx_quantiles(df, ["v"], [0.25, 0.5]).collect()}
+    assert all(abs(exact[p] - approx[p]) <= 2000 / 10_000 + 1 for p in exact)

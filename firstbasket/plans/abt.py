@@ -65,7 +65,9 @@ def build_abt(src: Sources, cfg: Config, checkpoint: bool = True) -> DataFrame:
     are learned from it and joined back). With ``checkpoint`` it is written once to the
     session's checkpoint folder, so the spine, label and feature aggregates run once and a lost
     executor re-reads files instead of recomputing the shuffles; without it, Spark re-derives the
-    whole frame in each branch (their column sets differ, so exchanges are not reused).
+    whole frame in each branch (their column sets differ, so exchanges are not reused). The
+    finished table is checkpointed too (the create-table-as-select step): cleaning, splitting,
+    profiling and training read it several times, and each read is then a file scan.
     """
     base = labelled_spine(src, cfg)
     baskets = (features.order_baskets(src.order_items, src.products, src.category_translation)
@@ -90,7 +92,7 @@ def build_abt(src: Sources, cfg: Config, checkpoint: bool = True) -> DataFrame:
     wide = wide.join(income, "customer_state", "left")
 
     from ..functions import days_between, not_null_flag
-    return wide.select(
+    abt = wide.select(
         PERSON, "first_order_id", "first_order_timestamp", "reordered_180d",
         days_between(cohort.DELIVERED, "first_order_timestamp").alias("days_to_deliver"),
         days_between(cohort.DELIVERED, cohort.ESTIMATED).alias("actual_vs_estimated_delivery_days"),
@@ -105,6 +107,7 @@ def build_abt(src: Sources, cfg: Config, checkpoint: bool = True) -> DataFrame:
         "first_order_category", "category_reorder_rate",
         "customer_state", "state_median_monthly_income", "state_reorder_rate",
     )
+    return abt.checkpoint(eager=True) if checkpoint else abt
 
 
 def bi_view(abt: DataFrame, name: str | None = None) -> DataFrame:

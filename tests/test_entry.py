@@ -30,3 +30,23 @@ def test_matches_duckdb_on_smallest_tables(spark, name):
     sp, db = sdf.toPandas(), rel.df()
     status, detail = compare(sp, db)
     assert status in ("PASS", "NEAR"), f"{name}: {status} {detail}"
+
+
+def test_base_table_is_partition_invariant(spark):
+    results = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 4, 17):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            results.append(sorted(tuple(r) for r in E.queries()["abt"](spark, SMOKE).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) == 137 and {r[3] for r in results[0]} <= {0, 1}
+
+
+def test_one_hot_groups_have_at_most_one_hot_level(spark):
+    df = E.queries()["one_hot"](spark, SMOKE)
+    for prefix in ("primary_payment_type_", "first_order_category_", "customer_state_"):
+        cols = [c for c in df.columns if c.startswith(prefix)]
+        assert cols and df.select(sum(df[c].cast("int") for c in cols).alias("s")).agg({"s": "max"}).first()[0] <= 1

@@ -3,7 +3,7 @@
 Rows are ordered inside each label by ``md5(key || ':' || seed)`` (then by key), which is the same
 in Spark and in SQL engines, so the split is reproducible anywhere. Positions inside a label
 come from distributed global positions over (label, hash, key) minus the label's first position
-(one row per label, broadcast), never from a window partitioned by the label: 97 % of rows share
+(one row per label), never from a window partitioned by the label: 97 % of rows share
 one label, and such a window would run in one task.
 """
 
@@ -25,7 +25,8 @@ def rank_within_label(df: DataFrame, label: str, key: str, seed: int, out_col: s
     """Adds ``out_col`` (0-based position inside the label) and ``label_rows``."""
     placed = with_global_position(df, [F.col(label), hash_order(key, seed), F.col(key)], pos_col="_gpos")
     starts = placed.groupBy(label).agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("label_rows"))
-    return (placed.join(F.broadcast(starts), label, "inner")
+    # One row per label value: small, but not bounded by construction, so AQE picks the join.
+    return (placed.join(starts, label, "inner")
             .withColumn(out_col, F.col("_gpos") - F.col("_start")).drop("_gpos", "_start"))
 
 

@@ -48,10 +48,17 @@ def frame_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
     """Distinct non-null values per column: (column, value) pairs are de-duplicated with a
-    partial aggregate and counted per column (no per-column distinct expansion)."""
+    partial aggregate and counted per column (no per-column distinct expansion). ``approx`` uses
+    HyperLogLog (``approx_count_distinct``, relative error ``rsd``) in one pass instead, for
+    id-like columns on very large tables where every distinct pair would cross the shuffle."""
     columns = list(columns or df.columns)
+    if approx:
+        counts = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in columns])
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_distinct")) for c in columns])
+        return counts.select(F.explode(pairs).alias("p")).select("p.*")
     return (_long(df, columns, "string").where(F.col("value").isNotNull())
             .distinct()
             .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))

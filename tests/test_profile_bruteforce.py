@@ -57,3 +57,9 @@ def test_correlation_matches_pandas_pairwise(spark):
     got = {r["feature"]: r["corr"] for r in profile.label_correlation(sdf, "b", ["a", "id"]).collect()}
     for c in ("a", "id"):
         assert abs(got[c] - round(pdf[c].astype(float).corr(pdf["b"].astype(float)), 6)) < 1e-6
+
+
+def test_approx_distinct_counts_close(spark):
+    sdf, pdf = _frame(spark)
+    got = {r["column_name"]: r["n_distinct"] for r in profile.distinct_counts(sdf, ["id", "c"], approx=True).collect()}
+    assert abs(got["id"] - 700) <= 35 and got["c"] == 4

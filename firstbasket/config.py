@@ -24,6 +24,8 @@ class Config:
     test_share: float = 0.2
     folds: int = 3
     deciles: int = 10
+    # Persons with more orders than this are salted across several tasks in the label join.
+    hot_key_rows: int = 1_000_000
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property

@@ -68,8 +68,8 @@ def first_order_spine(delivered: DataFrame, cfg: Config) -> DataFrame:
                            F.col("customer_state"), F.col(DELIVERED), F.col(ESTIMATED)))
     return (delivered.where(F.col(PURCHASE).isNotNull()
                             & (F.col(PURCHASE) <= ts_literal(cfg.first_order_cutoff)))
-            .groupBy(PERSON).agg(first.alias("f"))
-            .select(PERSON,
+            .groupBy(PERSON).agg(first.alias("f"), F.count(F.lit(1)).alias("order_count"))
+            .select(PERSON, "order_count",
                     F.col("f.customer_id").alias("customer_id"),
                     F.col("f.order_id").alias("first_order_id"),
                     F.col(f"f.{PURCHASE}").alias("first_order_timestamp"),
@@ -78,28 +78,52 @@ def first_order_spine(delivered: DataFrame, cfg: Config) -> DataFrame:
                     F.col(f"f.{ESTIMATED}").alias(ESTIMATED)))
 
 
-def _reorder_condition(cfg: Config):
-    """Repeat purchase: strictly later than the first order, at most the horizon after it, and a
-    different order (a same-instant second order never counts)."""
-    return ((F.col(f"o.{PURCHASE}") > F.col("s.first_order_timestamp"))
-            & (F.col(f"o.{PURCHASE}") <= F.col("s.first_order_timestamp") + horizon(cfg))
-            & (F.col("o.order_id") != F.col("s.first_order_id")))
-
-
 def _spine_anchor(spine: DataFrame) -> DataFrame:
-    return spine.select(PERSON, "first_order_id", "first_order_timestamp").alias("s")
+    return spine.select(PERSON, "first_order_id", "first_order_timestamp", "order_count").alias("s")
 
 
 def _order_times(delivered: DataFrame) -> DataFrame:
     return delivered.select(PERSON, "order_id", PURCHASE).alias("o")
 
 
+def _salted_join(o: DataFrame, s: DataFrame, cfg: Config, with_range: bool) -> DataFrame:
+    """Orders joined to their person's spine row, with hot persons salted.
+
+    A person with more than ``cfg.hot_key_rows`` orders gets ``salt_n = ceil(orders / hot_key_rows)``
+    salts: their orders are spread by a hash of the order id, and their spine row is replicated once
+    per salt, so the join on (person, salt) runs in ``salt_n`` tasks and every order still meets
+    its spine row exactly once. There are at most ``orders / hot_key_rows`` hot persons, which
+    bounds the broadcast of the hot list. (AQE's skew join cannot split this join by itself: the
+    spine side is an aggregate's output, not a plain shuffle stage.)
+    """
+    salt_n = F.greatest(F.lit(1), F.ceil(F.col("s.order_count") / F.lit(int(cfg.hot_key_rows)))).cast("int")
+    anchor = s.withColumn("salt_n", salt_n)
+    hot = anchor.where(F.col("salt_n") > 1).select(F.col(PERSON).alias("hot_person"), "salt_n")
+    orders = (o.join(F.broadcast(hot), F.col(f"o.{PERSON}") == F.col("hot_person"), "left")
+              .withColumn("o_salt", F.when(F.col("salt_n").isNull(), F.lit(0))
+                          .otherwise(F.pmod(F.xxhash64(F.col("o.order_id")), F.col("salt_n"))).cast("int"))
+              .select(F.col(f"o.{PERSON}").alias("o_person"), F.col("o.order_id").alias("o_order_id"),
+                      F.col(f"o.{PURCHASE}").alias("o_ts"), "o_salt"))
+    spine = (anchor.withColumn("s_salt", F.explode(F.sequence(F.lit(0), F.col("salt_n") - 1)))
+             .select(F.col(PERSON).alias("s_person"), "first_order_id", "first_order_timestamp", "s_salt"))
+    cond = (F.col("o_person") == F.col("s_person")) & (F.col("o_salt") == F.col("s_salt"))
+    if with_range:
+        cond = cond & _pair_is_reorder(cfg)
+    return orders.join(spine, cond, "inner")
+
+
+def _pair_is_reorder(cfg: Config):
+    return ((F.col("o_ts") > F.col("first_order_timestamp"))
+            & (F.col("o_ts") <= F.col("first_order_timestamp") + horizon(cfg))
+            & (F.col("o_order_id") != F.col("first_order_id")))
+
+
 def reorder_events(spine: DataFrame, delivered: DataFrame, cfg: Config) -> DataFrame:
     """Every delivered order of every spine person, flagged 1 when it is a repeat purchase inside
     the horizon."""
-    return (_order_times(delivered).join(_spine_anchor(spine), PERSON, "inner")
-            .select(PERSON, "first_order_id", "first_order_timestamp", F.col("o.order_id").alias("order_id"),
-                    flag(_reorder_condition(cfg)).alias("reordered_180d")))
+    pairs = _salted_join(_order_times(delivered), _spine_anchor(spine), cfg, with_range=False)
+    return pairs.select(F.col("s_person").alias(PERSON), "first_order_id", "first_order_timestamp",
+                        F.col("o_order_id").alias("order_id"), flag(_pair_is_reorder(cfg)).alias("reordered_180d"))
 
 
 def reorder_label(spine: DataFrame, delivered: DataFrame, cfg: Config) -> DataFrame:
@@ -112,9 +136,8 @@ def reorder_label(spine: DataFrame, delivered: DataFrame, cfg: Config) -> DataFr
     # A repeat purchase falls at most the horizon after a first order that is itself on or before
     # the cut-off, so later purchases cannot match (a pushed filter on the scan).
     latest = ts_literal(cfg.first_order_cutoff + timedelta(days=int(cfg.horizon_days)))
-    o = _order_times(delivered.where(F.col(PURCHASE) <= latest)).alias("o")
-    s = _spine_anchor(spine)
-    hits = (o.join(s, (F.col(f"o.{PERSON}") == F.col(f"s.{PERSON}")) & _reorder_condition(cfg), "inner")
-            .groupBy(F.col(f"o.{PERSON}").alias(PERSON)).agg(F.lit(1).alias("reordered_180d")))
+    o = _order_times(delivered.where(F.col(PURCHASE) <= latest))
+    hits = (_salted_join(o, _spine_anchor(spine), cfg, with_range=True)
+            .groupBy(F.col("s_person").alias(PERSON)).agg(F.lit(1).alias("reordered_180d")))
     return (spine.join(hits, PERSON, "left")
             .withColumn("reordered_180d", F.coalesce(F.col("reordered_180d"), F.lit(0)).cast("int")))

@@ -10,7 +10,11 @@ ORD = ("order_id string, customer_id string, order_status string, order_purchase
        "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz")
 
 
-def test_hot_person_spine_and_label(spark):
+import pytest
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 500])
+def test_hot_person_spine_and_label(spark, hot_rows):
     base = datetime(2020, 1, 1)
     rows = []
     for i in range(3000):  # a third of all orders belong to person "hot", spread over two years
@@ -24,9 +28,13 @@ def test_hot_person_spine_and_label(spark):
     orders = spark.createDataFrame(rows, ORD).repartition(16)
     customers = spark.createDataFrame([("H", "hot", "S")] + [(f"C{p}", f"p{p}", "S") for p in range(2000)],
                                       "customer_id string, customer_unique_id string, customer_state string")
-    d = cohort.delivered_orders(orders, customers, CFG)
-    lab = {r["customer_unique_id"]: r for r in
-           cohort.reorder_label(cohort.first_order_spine(d, CFG), d, CFG).collect()}
+    cfg = Config(dataset_end=CFG.dataset_end, horizon_days=180, hot_key_rows=hot_rows)
+    d = cohort.delivered_orders(orders, customers, cfg)
+    spine = cohort.first_order_spine(d, cfg)
+    lab = {r["customer_unique_id"]: r for r in cohort.reorder_label(spine, d, cfg).collect()}
+    events = cohort.reorder_events(spine, d, cfg)
+    assert events.count() == d.count()  # every order of every spine person exactly once, salted or not
+    assert events.where("customer_unique_id = 'hot'").agg({"reordered_180d": "sum"}).first()[0] > 0
     assert lab["hot"]["first_order_id"] == "h00000" and lab["hot"]["reordered_180d"] == 1
     assert all(lab[f"p{p}"]["reordered_180d"] == (0 if p % 2 else 1) for p in range(2000))
 

@@ -6,9 +6,10 @@ solution tilts rates exponentially in a document's size: rate = min(CAP, SHARE *
 size)). Newton steps on the dual run on the counts of (source, size), a table that stops growing with
 the rows, each a grouped sum; a step that leaves the bracket of the root halves it instead.
 
-Rates become whole copies: a document gets floor(rate), and one more if a hash of its id is under the
-fraction plus a shift. The shift of a source is set from histograms of (hash - fraction), twice
-refined, so that the words taken come as near to the target as the documents' sizes allow.
+Rates become whole copies: a document gets floor(rate), and one more if a hash of it is under the
+fraction plus a shift. The shift of a source is set from histograms of (hash - fraction), refined
+once, so that the words taken come near the target; where a document too large for the rest stands in
+the way, the next pass leaves it out and goes on.
 
 Per-source tables are written between the steps and joined by source, never collected; the driver
 sees one count a step. SQL functions only.
@@ -30,6 +31,7 @@ CAP = 2.0
 STEPS = 60
 TOLERANCE = 1e-9
 BINS = 4096
+PASSES = 3
 
 
 def size_of(text: Column) -> Column:
@@ -88,34 +90,38 @@ def _tilt(work: Work, sizes: DataFrame, targets: DataFrame, share: float, cap: f
     return now
 
 
+def _zoom(work: Work, rates: DataFrame, now: DataFrame, bins: int) -> DataFrame:
+    """One refinement for each source: of ``bins`` equal parts of [at, at + width) the most that can be
+    added from the first on. Advances ``at`` to the end of those parts and takes their words off ``need``."""
+    s = now.select(F.col("source").alias("s"), "need", "limit", "at", "width")
+    bin_ = F.floor((F.col("margin") - F.col("at")) / F.col("width") * bins)
+    inside = (rates.join(s, rates.source.eqNullSafe(s.s)).filter((F.col("margin") >= F.col("at")) & (F.col("size") <= F.col("limit")))
+              .withColumn("bin", bin_).filter(F.col("bin") < bins).groupBy("s", "need", "bin").agg(F.sum("size").alias("words")))
+    upto = F.sum("words").over(Window.partitionBy("s").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    reach = inside.withColumn("upto", upto)
+    fits = reach.filter(F.col("upto") <= F.col("need")).groupBy("s").agg(F.max("bin").alias("last"), F.max("upto").alias("added"))
+    over = reach.filter(F.col("upto") > F.col("need")).groupBy(F.col("s").alias("s2")).agg(F.min("bin").alias("over"))
+    got = now.join(fits, now.source.eqNullSafe(fits.s), "left").join(over, now.source.eqNullSafe(over.s2), "left")
+    # Up to the part that holds too much; to the end where none does.
+    edge = F.col("at") + F.coalesce("over", F.lit(bins)) * F.col("width") / bins
+    return work.save(got.select("source", (F.col("need") - F.coalesce("added", F.lit(0))).alias("need"), "limit", edge.alias("at"),
+                                (F.col("width") / bins).alias("width"), "start", "passes"), "shift")
+
+
 def _shift(work: Work, rates: DataFrame, targets: DataFrame, bins: int) -> DataFrame:
-    """(source, shift): rates has source, whole (words of the whole copies), size, margin (null where
-    no copy can be added). Copies are added where margin < shift, margins lie in [-1, 1)."""
+    """(source, passes: array<struct<start, stop, limit>>): a copy is added to the documents of at most
+    ``limit`` words whose margin lies in [start, stop) of a pass. ``rates`` has source, whole (words of
+    the whole copies), size, margin (null where no copy can be added). A pass goes up the margins until
+    the next document is larger than what is still needed; the next pass leaves such documents out."""
     base = rates.groupBy("source").agg(F.sum("whole").alias("base"))
     now = work.save(targets.join(base, targets.source.eqNullSafe(base.source)).select(
-        targets.source, (F.col("target") - F.col("base")).alias("need"), F.lit(-1.0).alias("from"), F.lit(2.0).alias("width")), "shift")
-    for _ in range(3):
-        s = now.select(F.col("source").alias("s"), "need", "from", "width")
-        bin_ = F.floor((F.col("margin") - F.col("from")) / F.col("width") * bins)
-        inside = (rates.join(s, rates.source.eqNullSafe(s.s)).withColumn("bin", bin_).filter(F.col("bin").between(0, bins - 1))
-                  .groupBy("s", "bin").agg(F.sum("size").alias("words")))
-        upto = Window.partitionBy("s").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        sums = inside.withColumn("upto", F.sum("words").over(upto))
-        # The last bin edge at or under what is needed, and the words added below it.
-        fits = (sums.join(s.select(F.col("s").alias("s2"), "need"), F.col("s").eqNullSafe(F.col("s2"))).filter(F.col("upto") <= F.col("need"))
-                .groupBy("s").agg(F.max("bin").alias("bin"), F.max("upto").alias("added")))
-        got = now.join(fits, now.source.eqNullSafe(fits.s), "left")
-        edge = F.col("from") + (F.coalesce("bin", F.lit(-1)) + 1) * F.col("width") / bins
-        after = work.save(got.select("source", (F.col("need") - F.coalesce("added", F.lit(0))).alias("need"), edge.alias("from"),
-                                     _next_width(F.col("width"), bins).alias("width")), "shift")
-        work.drop(now)
-        now = after
-    return now.select("source", F.col("from").alias("shift"))
-
-
-def _next_width(width: Column, bins: int) -> Column:
-    """Refine what may hold the next step: the bins after the edge are empty or hold too much."""
-    return width * 64 / bins
+        targets.source, (F.col("target") - F.col("base")).alias("need"), F.lit(0.0).alias("limit"), F.lit(-1.0).alias("at"), F.lit(2.0).alias("width"),
+        F.lit(-1.0).alias("start"), F.array().cast("array<struct<start:double,stop:double,limit:double>>").alias("passes")), "shift")
+    for _ in range(PASSES):
+        now = now.withColumns({"limit": F.col("need"), "start": F.col("at"), "width": F.lit(1.0) - F.col("at")})
+        now = _zoom(work, rates, _zoom(work, rates, now, bins), bins)
+        now = now.withColumn("passes", F.concat("passes", F.array(F.struct("start", F.col("at").alias("stop"), "limit"))))
+    return work.save(now.select("source", "passes"), "passes")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS,
@@ -143,8 +149,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                       .select("id", "source", "size", "source_size", "target", whole.alias("copies"), (F.col("size") * whole).alias("whole"),
                               F.when(whole < F.floor(F.lit(cap)), F.col("chance") - (F.col("rate") - whole)).alias("margin")), "rated")
     shift = _shift(work, rated.select("source", "whole", "size", "margin"), targets.select("source", "target"), BINS)
-    s = shift.select(F.col("source").alias("s"), "shift")
-    copies = F.col("copies") + F.when(F.coalesce(F.col("margin") < F.col("shift"), F.lit(False)), 1).otherwise(0)
+    s = shift.select(F.col("source").alias("s"), "passes")
+    added = F.exists("passes", lambda p: (F.col("margin") >= p["start"]) & (F.col("margin") < p["stop"]) & (F.col("size") <= p["limit"]))
+    copies = F.col("copies") + F.when(F.coalesce(added, F.lit(False)), 1).otherwise(0)
     return (rated.join(s, rated.source.eqNullSafe(s.s))
             .select(F.col("id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target",
                     (F.col("size") * copies).cast("long").alias("taken"), copies.cast("long").alias("copies")))

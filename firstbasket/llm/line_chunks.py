@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .work import Work, free_names, named
 
 WINDOW = 2
-DIVISOR = 2
-LONG_WORDS = 30
+DIVISOR = 3
+LONG_WORDS = 20
 MIN_WORDS = 20
 
 

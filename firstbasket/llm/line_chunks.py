@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from .work import Work, free_names, named
 
 WINDOW = 2
-DIVISOR = 3
+DIVISOR = 2
 LONG_WORDS = 20
-MIN_WORDS = 20
+MIN_WORDS = 15
 
 
 def _words(line: Column) -> Column:

@@ -40,7 +40,7 @@ def test_targets_rates_and_copies(spark):
         assert r.target == pytest.approx(target[s]) and 0 <= r.taken <= 2 * r.size
         taken[s] += r.taken
     for s in sizes:
-        assert abs(taken[s] - target[s]) <= max(60, 0.03 * target[s])
+        assert abs(taken[s] - target[s]) <= max(60, 0.03 * target[s], max(r.size for r in got if source[r.doc_id] == s))  # copies are whole
     again = em.mix(df.repartition(7)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
     assert em.mix(df.limit(0)).count() == 0

@@ -30,7 +30,7 @@ def test_repeats_go_and_the_first_stays(spark):
     assert len(got) == len(docs)
     lines = Counter(x for _, t in got for x in (t or "").split("\n"))
     assert lines[LONG] == 1
-    assert sum(lines[x] == 1 for x in PASSAGE.split("\n"))   >= 6  # all but the ends, which lie in chunks with their neighbours
+    assert sum(lines[x] == 1 for x in PASSAGE.split("\n"))  >= 6  # all but the ends, which lie in chunks with their neighbours
     by = dict(got)
     assert by[51] is None and by[52] == "" and by[53] == "\n" * 5000
     for d, t in docs:

@@ -41,25 +41,26 @@ def target_encode(df: DataFrame, key: str, label: str, prefix: str,
     return df.join(rates, key, "left")
 
 
-MAX_LEVELS = 10_000
+def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """The encoding in sparse form, one row (key, column_name, level) per non-null value: its size
+    follows the rows, whatever the number of levels."""
+    return df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("level")) for c in columns])).alias("kv")
+    ).select(key, "kv.column_name", "kv.level").where(F.col("level").isNotNull())
 
 
-def one_hot_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+def one_hot_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
     """Sorted distinct non-null levels per column, found in one distributed pass.
 
     The level lists become column names, so they are fetched to the driver; their size is the
-    number of categories (bounded by the dimension tables), not the number of rows. The fetch is
-    checked first: more than ``max_levels`` levels raise instead of building a frame that wide
-    (use the sparse Spark ML encoding in ``operators.model`` for such columns).
+    number of columns of the dense frame, not the number of rows. For columns with very many levels
+    ``one_hot_long`` and the sparse Spark ML encoding in ``operators.model`` need no such list.
     """
     if not columns:
         return {}
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns]))
         .alias("kv")).select("kv.column", "kv.level").where(F.col("level").isNotNull()).distinct()
-    found = stacked.limit(max_levels + 1).count()
-    if found > max_levels:
-        raise ValueError(f"{found}+ one-hot levels in {list(columns)}; use the sparse encoder instead")
     levels: dict[str, list] = {c: [] for c in columns}
     for row in stacked.collect():
         levels[row["column"]].append(row["level"])

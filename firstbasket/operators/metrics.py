@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -134,10 +136,11 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     result is one division."""
     g = score_groups(df, label, score)
     cum = running_totals(g, [F.col("score").asc()], ["neg"])
+    wide = "decimal(18,0)"  # products of two counts pass the range of bigint on very large tables
     return cum.agg(
-        F.sum(F.col("pos") * (2 * (F.col("cum_neg") - F.col("neg")) + F.col("neg"))).alias("u2"),
+        F.sum(F.col("pos").cast(wide) * (2 * (F.col("cum_neg") - F.col("neg")) + F.col("neg")).cast(wide)).alias("u2"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
-    ).select((F.col("u2").cast("double") / (2 * F.col("n_pos") * F.col("n_neg")).cast("double")).alias("roc_auc"),
+    ).select((F.col("u2").cast("double") / (F.lit(2).cast("decimal(1,0)") * F.col("n_pos").cast(wide) * F.col("n_neg").cast(wide)).cast("double")).alias("roc_auc"),
              F.col("n_pos").cast("bigint").alias("n_pos"), F.col("n_neg").cast("bigint").alias("n_neg"))
 
 
@@ -179,11 +182,12 @@ def lift_table(scored: DataFrame, label: str, score: str, key: str, k: int = 10)
         "lift", F.try_divide(rate, baseline))
 
 
-def lift_top_pct(scored: DataFrame, label: str, score: str, key: str, pct: float = 20.0, k: int = 10) -> DataFrame:
-    """Lift of the best ``pct`` percent (whole deciles): positive rate of deciles 1..pct*k/100
+def lift_top_pct(scored: DataFrame, label: str, score: str, key: str, pct: float = 20.0) -> DataFrame:
+    """Lift of the best ``pct`` percent by rank: positive rate of the first t of q equal-frequency
+    buckets, with t/q the exact fraction ``pct``/100 (at whole deciles the same rows as the deciles'),
     divided by the overall rate."""
-    d = score_deciles(scored, score, key, k)
-    top = int(round(pct * k / 100.0))
+    part = Fraction(str(pct)) / 100
+    d, top = score_deciles(scored, score, key, part.denominator), part.numerator
     baseline = scored.select(F.avg(F.col(label).cast("double"))).scalar()
     sel = d.where(F.col("decile") <= top)
     rate = F.sum(F.col(label)).cast("double") / F.count(F.lit(1)).cast("double")

@@ -550,7 +550,12 @@ def q_lift_table(spark, sf_dir):
 
 @register("lift_top_pct")
 def q_lift_top_pct(spark, sf_dir):
-    return metrics.lift_top_pct(_scored(spark, sf_dir), "y_true", "y_proba", PERSON, 20.0, CFG.deciles)
+    return metrics.lift_top_pct(_scored(spark, sf_dir), "y_true", "y_proba", PERSON, 20.0)
+
+
+@register("lift_top_quarter")
+def q_lift_top_quarter(spark, sf_dir):
+    return metrics.lift_top_pct(_scored(spark, sf_dir), "y_true", "y_proba", PERSON, 25.0)
 
 
 # ---------------------------------------------------------------- training and scoring (rows-only checks)

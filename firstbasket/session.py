@@ -2,7 +2,7 @@
 
 On a cluster the session comes from the platform; ``configure`` only sets
 what is unset, and ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the
-session before falling back to a scratch folder (local runs only).
+session; a scratch folder stands in on a local master only.
 """
 
 from __future__ import annotations
@@ -50,7 +50,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``), or a local
-    scratch folder when the setting is unset (local tests and benches only)."""
+    scratch folder when the setting is unset and the master is local (tests and benches). Elsewhere
+    an unset folder is an error: executors would write to disks that others don't see."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote sessions expose no SparkContext
@@ -63,6 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="firstbasket-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -15,7 +15,6 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 CSV_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
-    "multiLine": "true",
     "escape": '"',
     "quote": '"',
     "mode": "FAILFAST",
@@ -24,10 +23,12 @@ CSV_OPTIONS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """CSV with a header line whose names are ignored: columns bind to ``schema`` by position.
+    """CSV with a header line whose names are ignored: columns bind to ``schema`` by position. Only
+    tables with free text (comments) are read as multi-line, which makes a file one task.
     Floating-point NaN is turned into NULL (in Spark ``NaN >= 1`` is true, so a NaN would pass
     threshold flags that a missing value must fail)."""
-    opts = dict(CSV_OPTIONS, **{k: str(v) for k, v in options.items()})
+    free_text = any("comment" in f.name for f in schema.fields)  # such a file can't be split: quoted line ends
+    opts = {**CSV_OPTIONS, "multiLine": str(free_text).lower(), **{k: str(v) for k, v in options.items()}}
     return nan_to_null(spark.read.options(**opts).schema(schema).csv(path))
 
 

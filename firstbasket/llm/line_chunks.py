@@ -30,10 +30,13 @@ def _words(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once however often it occurs there."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _chunks(text: Column, window: int, divisor: int, long_words: int) -> Column:
-    """array<struct<first, n>>: the chunks of a text's lines, in order."""
-    lines = F.split(text, "\n", -1)
-    marks = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), (_words(x) >= long_words).alias("long")))
+    """array<struct<first, n, body>>: the chunks of a text's lines, in order."""
     # A boundary before line i: the rolling hash of the lines before it says so, or it or the one before is long.
     def cut(m: Column) -> Column:
         def before(x: Column, i: Column) -> Column:
@@ -45,17 +48,22 @@ def _chunks(text: Column, window: int, divisor: int, long_words: int) -> Column:
                           | (F.pmod(F.xxhash64(rolling), F.lit(divisor)) == 0), i)
         return F.filter(F.transform(m, before), lambda x: x.isNotNull())
 
-    return F.transform(F.array(marks), lambda m: F.transform(
-        F.array(cut(m)), lambda c: F.transform(c, lambda s, k: F.struct(
-            s.alias("first"), (F.coalesce(F.get(c, k + 1), F.size(m)) - s).alias("n")))))[0][0]
+    def chunks(lines: Column) -> Column:
+        marks = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), (_words(x) >= long_words).alias("long")))
+
+        def chunk(c: Column, s: Column, k: Column) -> Column:
+            n = F.coalesce(F.get(c, k + 1), F.size(lines)) - s
+            return F.struct(s.alias("first"), n.alias("n"), F.array_join(F.slice(lines, s + 1, n), "\n").alias("body"))
+
+        return _let(_let(marks, cut), lambda c: F.transform(c, lambda s, k: chunk(c, s, k)))
+
+    return _let(F.split(text, "\n", -1), chunks)
 
 
 def _placed(docs: DataFrame, text_col: str, window: int, divisor: int, long_words: int, min_words: int) -> DataFrame:
-    """(row, text, chunk: number, first line, lines, whether it may be removed, its text)."""
+    """(row, id, first line, lines, text) of the chunks that may be removed."""
     text = F.coalesce(F.col(named([], text_col)).cast("string"), F.lit(""))
-    lines = docs.select("row", "id", text.alias("text")).withColumn("chunk", F.explode(_chunks(F.col("text"), window, divisor, long_words)))
-    body = F.array_join(F.slice(F.split("text", "\n", -1), F.col("chunk.first") + 1, F.col("chunk.n")), "\n")
-    return (lines.select("row", "id", F.col("chunk.first").alias("first"), F.col("chunk.n").alias("n"), body.alias("body"))
+    return (docs.select("row", "id", F.inline(_chunks(text, window, divisor, long_words)))
             .filter(_words(F.replace("body", F.lit("\n"), F.lit(" "))) >= F.when(F.col("n") > 1, min_words).otherwise(max(min_words, long_words))))
 
 
@@ -87,9 +95,13 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _without(text: Column, gone: Column) -> Column:
-    lines = F.split(text, "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.exists(gone, lambda g: (i >= g["first"]) & (i < g["first"] + g["n"])))
-    return F.when(gone.isNull(), text).otherwise(F.array_join(kept, "\n"))
+    taken = F.flatten(F.transform(gone, lambda g: F.sequence(g["first"], g["first"] + g["n"] - 1)))
+
+    def rest(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), taken)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    return F.when(gone.isNull(), text).otherwise(_let(F.split(text, "\n", -1), rest))
 
 
 def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR,

@@ -27,7 +27,7 @@ MIN_WORDS = 15
 
 def _words(line: Column) -> Column:
     """Words parted by single spaces: a length that needs no regular expression."""
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def _let(value: Column, body) -> Column:
@@ -36,7 +36,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _chunks(text: Column, window: int, divisor: int, long_words: int) -> Column:
-    """array<struct<first, n, body>>: the chunks of a text's lines, in order."""
+    """array<struct<first, n, words, body>>: the chunks of a text's lines, in order."""
     # A boundary before line i: the rolling hash of the lines before it says so, or it or the one before is long.
     def cut(m: Column) -> Column:
         def before(x: Column, i: Column) -> Column:
@@ -44,27 +44,28 @@ def _chunks(text: Column, window: int, divisor: int, long_words: int) -> Column:
             for j in range(1, window + 1):
                 past = F.when(i >= j, F.get(m, i - j).getField("h")).otherwise(F.lit(0).cast("bigint"))
                 rolling = rolling.bitwiseXOR(F.shiftleft(past, 7 * (j - 1)))
-            return F.when((i == 0) | x.getField("long") | F.get(m, i - 1).getField("long")
+            return F.when((i == 0) | (x.getField("words") >= long_words) | (F.get(m, i - 1).getField("words") >= long_words)
                           | (F.pmod(F.xxhash64(rolling), F.lit(divisor)) == 0), i)
         return F.filter(F.transform(m, before), lambda x: x.isNotNull())
 
     def chunks(lines: Column) -> Column:
-        marks = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), (_words(x) >= long_words).alias("long")))
+        marks = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), _words(x).alias("words")))
 
-        def chunk(c: Column, s: Column, k: Column) -> Column:
+        def chunk(m: Column, c: Column, s: Column, k: Column) -> Column:
             n = F.coalesce(F.get(c, k + 1), F.size(lines)) - s
-            return F.struct(s.alias("first"), n.alias("n"), F.array_join(F.slice(lines, s + 1, n), "\n").alias("body"))
+            words = F.aggregate(F.slice(m, s + 1, n), F.lit(0), lambda total, x: total + x.getField("words"))
+            return F.struct(s.alias("first"), n.alias("n"), words.alias("words"), F.array_join(F.slice(lines, s + 1, n), "\n").alias("body"))
 
-        return _let(_let(marks, cut), lambda c: F.transform(c, lambda s, k: chunk(c, s, k)))
+        return _let(marks, lambda m: _let(cut(m), lambda c: F.transform(c, lambda s, k: chunk(m, c, s, k))))
 
     return _let(F.split(text, "\n", -1), chunks)
 
 
 def _placed(docs: DataFrame, text_col: str, window: int, divisor: int, long_words: int, min_words: int) -> DataFrame:
-    """(row, id, first line, lines, text) of the chunks that may be removed."""
+    """(row, id, first line, lines, words, text) of the chunks that may be removed."""
     text = F.coalesce(F.col(named([], text_col)).cast("string"), F.lit(""))
     return (docs.select("row", "id", F.inline(_chunks(text, window, divisor, long_words)))
-            .filter(_words(F.replace("body", F.lit("\n"), F.lit(" "))) >= F.when(F.col("n") > 1, min_words).otherwise(max(min_words, long_words))))
+            .filter(F.col("words") >= F.when(F.col("n") > 1, min_words).otherwise(max(min_words, long_words))))
 
 
 def _removals(work: Work, docs: DataFrame, id_col: str, text_col: str, window: int, divisor: int, long_words: int,
@@ -76,11 +77,11 @@ def _removals(work: Work, docs: DataFrame, id_col: str, text_col: str, window: i
             .groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("keep")).filter("n > 1"))
     repeated = work.save(seen.select("hash", "keep"), "repeated")
     again = work.save(placed.withColumn("hash", F.xxhash64("body")).withColumn("at", order)
-                      .join(repeated.hint("shuffle_hash"), "hash").select("hash", "row", "id", "first", "n", "body", (F.col("at") == F.col("keep")).alias("kept")),
+                      .join(repeated.hint("shuffle_hash"), "hash").select("hash", "row", "id", "first", "n", "words", "body", (F.col("at") == F.col("keep")).alias("kept")),
                       "again")
     kept = again.filter("kept").select("hash", F.col("body").alias("kept_body"))
     return work.save(again.filter("not kept").join(kept, "hash").filter(F.col("body") == F.col("kept_body"))
-                     .select("row", "id", "first", "n", _words(F.replace("body", F.lit("\n"), F.lit(" "))).alias("words")), "removals")
+                     .select("row", "id", "first", "n", "words"), "removals")
 
 
 def _gone(removals: DataFrame) -> DataFrame:

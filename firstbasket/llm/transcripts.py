@@ -13,10 +13,11 @@ the chunks are decoded in parallel. A transcript that fits one chunk takes the s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from .work import Work
 ROLES = ("system", "user", "assistant")
 STATES = [(r, o) for r in range(len(ROLES)) for o in (True, False)]
 CHUNK = 256
+_CHUNKS = 512  # decoded at a time
 # Speaker markers of common transcripts.
 MARKERS = (
     (0, r"^\s*(?:<\|system\|>|\[system\]|#+ ?system:?|(?:system|instructions?)\s*:)\s*"),
@@ -73,63 +75,111 @@ def learn(lines: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.log(x / x.sum(axis=-1, keepdims=True)) for x in (start, move, show))
 
 
-def _best(matrix: np.ndarray, step: np.ndarray) -> np.ndarray:
-    return (matrix[:, :, None] + step[None, :, :]).max(axis=1)
+def _padded(symbols: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols [chunk, line], zero beyond a chunk's end; lengths)."""
+    n = np.array([len(x) for x in symbols], np.int64)
+    out = np.zeros((len(symbols), int(n.max(initial=0))), np.int64)
+    for row, x in zip(out, symbols):
+        row[: len(x)] = x
+    return out, n
 
 
-def _summary(key: tuple, rows: pd.DataFrame, model) -> pd.DataFrame:
-    """The chunk's matrix [state before, state of its last line]. Before the first line is state 0."""
-    start, move, show = model.value
-    rows = rows.sort_values("line")
-    matrix = np.where(np.eye(6) > 0, 0.0, -np.inf)
-    for at, symbol_ in zip(rows["line"].tolist(), rows["symbol"].tolist()):
-        matrix = _best(matrix, (np.tile(start, (6, 1)) if at == 0 else move) + show[:, symbol_])
-    return pd.DataFrame({"conv": [key[0]], "chunk": [key[1]], "matrix": [matrix.ravel().tolist()]})
+def _moves(at: np.ndarray, opens: np.ndarray, t: int, model: tuple) -> np.ndarray:
+    """[chunk, state before, state]: chances of a step to line ``t`` of the chunks ``at``."""
+    start, move, _ = model
+    out = np.repeat(move[None], len(at), axis=0)
+    if t == 0:
+        out[opens[at]] = start
+    return out
 
 
-def _ends(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _summary(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    """A chunk's matrix [state before, state of its last line], for many chunks at a time. Before a
+    transcript's first line is state 0."""
+    show = model.value[2]
+    for whole in batches:
+        for batch in _pieces(whole):
+            symbols, n = _padded(batch.column(3).to_pylist())
+            opens = batch.column(2).to_numpy() == 0
+            matrix = np.repeat(np.where(np.eye(6) > 0, 0.0, -np.inf)[None], len(n), axis=0)
+            for t in range(symbols.shape[1]):
+                at = np.flatnonzero(n > t)
+                step = _moves(at, opens, t, model.value) + show[:, symbols[at, t]].T[:, None, :]
+                matrix[at] = (matrix[at][:, :, :, None] + step[:, None]).max(axis=2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(matrix.reshape(len(n), 36)), pa.list_(pa.float64()))],
+                                             names=["conv", "chunk", "matrix"])
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The best path through a transcript's chunks: each one's state before it and at its end."""
-    rows = rows.sort_values("chunk")
-    value, back = np.full(6, -np.inf), []
-    value[0] = 0.0
-    for m in rows["matrix"]:
-        score = value[:, None] + np.array(m, float).reshape(6, 6)
-        back.append(score.argmax(axis=0))
-        value = score.max(axis=0)
-    state, before, ends = int(value.argmax()), [], []
-    for b in reversed(back):
-        ends.append(state)
-        state = int(b[state])
-        before.append(state)
-    return pd.DataFrame({"conv": rows["conv"], "chunk": rows["chunk"], "before": before[::-1], "end": ends[::-1]})
-
-
-def _decode(key: tuple, rows: pd.DataFrame, ends: pd.DataFrame, model) -> pd.DataFrame:
-    start, move, show = model.value
-    rows = rows.sort_values("line")
-    value, back = np.full(6, -np.inf), []
-    value[int(ends["before"].iloc[0])] = 0.0
-    for at, symbol_ in zip(rows["line"].tolist(), rows["symbol"].tolist()):
-        score = value[:, None] + (np.tile(start, (6, 1)) if at == 0 else move)
-        back.append(score.argmax(axis=0))
-        value = score.max(axis=0) + show[:, symbol_]
-    state, states = int(ends["end"].iloc[0]), []
-    for b in reversed(back):
-        states.append(state)
-        state = int(b[state])
-    states = states[::-1]
-    return pd.DataFrame({"conv": rows["conv"], "line": rows["line"], "role_found": [ROLES[s // 2] for s in states], "opens_found": [s % 2 == 0 for s in states]})
+    for batch in batches:
+        before, ends = [], []
+        for matrices in batch.column(1).to_pylist():
+            value, back, path = np.full(6, -np.inf), [], []
+            value[0] = 0.0
+            for m in matrices:
+                score = value[:, None] + np.array(m, float).reshape(6, 6)
+                back.append(score.argmax(axis=0))
+                value = score.max(axis=0)
+            state, into = int(value.argmax()), []
+            for b in reversed(back):
+                path.append(state)
+                state = int(b[state])
+                into.append(state)
+            before.append(into[::-1])
+            ends.append(path[::-1])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(before, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))],
+                                         names=["conv", "before", "ends"])
+
+
+def _decode(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    """The best states of many chunks at a time, each between its known ends."""
+    show = model.value[2]
+    for whole in batches:
+        for batch in _pieces(whole):
+            symbols, n = _padded(batch.column(2).to_pylist())
+            opens = batch.column(1).to_numpy() == 0
+            every = np.arange(len(n))
+            value = np.full((len(n), 6), -np.inf)
+            value[every, batch.column(3).to_numpy()] = 0.0
+            back = np.zeros((symbols.shape[1], len(n), 6), np.int64)
+            for t in range(symbols.shape[1]):
+                at = np.flatnonzero(n > t)
+                score = value[at][:, :, None] + _moves(at, opens, t, model.value)
+                back[t, at] = score.argmax(axis=1)
+                value[at] = score.max(axis=1) + show[:, symbols[at, t]].T
+            state, states = batch.column(4).to_numpy().astype(np.int64), np.zeros(symbols.shape, np.int64)
+            for t in range(symbols.shape[1] - 1, -1, -1):
+                at = np.flatnonzero(n > t)
+                states[at, t] = state[at]
+                state[at] = back[t, at, state[at]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[:k] for x, k in zip(states, n)], pa.list_(pa.int64()))],
+                                             names=["conv", "first", "states"])
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, _CHUNKS):
+        yield batch.slice(at, _CHUNKS)
 
 
 def decode(work: Work, lines: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """(conv, line, role_found, opens_found) of rows (conv, line: from 0 without gaps, symbol)."""
     block = work.spark.sparkContext.broadcast(model)
     kind = lines.schema["conv"].dataType.simpleString()
-    rows = lines.select("conv", "line", "symbol", F.floor(F.col("line") / CHUNK).alias("chunk"))
-    sums = rows.groupBy("conv", "chunk").applyInPandas(partial(_summary, model=block), f"conv {kind}, chunk bigint, matrix array<double>")
-    ends = work.save(work.save(sums, "matrices").groupBy("conv").applyInPandas(_ends, f"conv {kind}, chunk bigint, before int, end int"), "ends")
-    return (rows.groupBy("conv", "chunk").cogroup(ends.groupBy("conv", "chunk"))
-            .applyInPandas(partial(_decode, model=block), f"conv {kind}, line bigint, role_found string, opens_found boolean"))
+    chunks = (lines.groupBy("conv", F.floor(F.col("line") / CHUNK).alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("line", "symbol"))).alias("l"))
+              .select("conv", "chunk", F.get("l", F.lit(0))["line"].alias("first"), F.transform("l", lambda x: x["symbol"]).alias("symbols")))
+    chunks = work.save(chunks, "chunks")
+    sums = chunks.mapInArrow(partial(_summary, model=block), f"conv {kind}, chunk bigint, matrix array<double>")
+    rows = sums.groupBy("conv").agg(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "matrix"))), lambda x: x["matrix"]).alias("matrices"))
+    ends = rows.mapInArrow(_ends, f"conv {kind}, before array<int>, ends array<int>")
+    ends = work.save(ends.select("conv", F.posexplode(F.arrays_zip("before", "ends")).alias("chunk", "x"))
+                     .select("conv", F.col("chunk").cast("long").alias("chunk"), "x.before", F.col("x.ends").alias("end")), "ends")
+    found = (chunks.join(ends, ["conv", "chunk"]).select("conv", "first", "symbols", "before", "end")
+             .mapInArrow(partial(_decode, model=block), f"conv {kind}, first bigint, states array<bigint>"))
+    state = F.col("state")
+    return (found.select("conv", "first", F.posexplode("states").alias("at", "state"))
+            .select("conv", (F.col("first") + F.col("at")).alias("line"),
+                    F.get(F.array(*map(F.lit, ROLES)), F.floor(state / 2).cast("int")).alias("role_found"), (state % 2 == 0).alias("opens_found")))
 
 
 def render(decoded: DataFrame) -> DataFrame:

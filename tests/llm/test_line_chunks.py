@@ -60,3 +60,14 @@ def test_boundaries_resist_shifts(spark):
 
 def test_empty_table(spark):
     assert lc.drop_repeated_chunks(frame(spark, [])).count() == 0 and lc.removed_chunks(frame(spark, [])).count() == 0
+
+
+def test_words_lie_between_runs_of_white_space(spark):
+    rng = random.Random(6)
+    tabbed = "\t".join(f"t{i}" for i in range(50))
+    code = [" " * 19 + "}", " " * 40, "\t" * 25, " " * 25 + "return None"]
+    docs = [(i, "\n".join([*unique(rng, 1), tabbed, *unique(rng, 1)])) for i in range(3)]
+    docs += [(10 + i, "\n".join(x for c in code for x in (c, *unique(rng, 1)))) for i in range(3)]
+    out = {r.doc_id: r.text for r in lc.drop_repeated_chunks(frame(spark, docs)).collect()}
+    assert [tabbed in out[i] for i in range(3)] == [True, False, False]
+    assert all(out[d] == t for d, t in docs if d >= 10)

@@ -1,26 +1,30 @@
 """Line deduplication on content-defined chunks of lines.
 
-A text is cut into chunks of lines where a rolling hash over the hashes of the last ``window`` lines
-has a given remainder, so an insertion moves only the boundaries near it and a passage is cut alike
-in whatever text it stands. A line of ``long_words`` words or more is a chunk of its own. Chunks that
-occur again anywhere (in another text or the same one) are removed but for their first occurrence, if
-they hold several lines or a long one, and ``min_words`` words; equality is that of the bytes.
-
-Only hashes are gathered at first: (row, chunk, hash). Chunk texts are then shuffled by hash, those
-whose hash occurs once drop out in a hash join whose built side is the repeated hashes, and each
-other one is compared with the bytes of its hash's first occurrence. Both joins read written tables
-on both sides, so adaptive execution can split a very common chunk. SQL functions only.
+Every line that isn't blank opens a chunk and closes one: the fewest lines from it on, or up to it,
+that hold ``min_words`` words and are several, or the line alone if it holds ``long_words``. What a
+chunk holds depends on these lines only, so a passage has the same chunks in whatever text it stands,
+and a repeated passage of several lines and ``min_words`` words is covered by its chunks from its
+first line to its last, however short the lines are. Chunks that occur again anywhere (in another text,
+or further on in the same one) are removed but for their first occurrence; equality is that of the
+bytes, blank lines between included. Where chunks overlap, a line that goes may be the first occurrence
+of another chunk; an equal line stays at an earlier place.
+
+Only hashes and places are gathered at first: (hash, row, first line, last line). Those whose hash
+occurs once drop out in a hash join whose built side is the repeated hashes. Neighbouring repeated
+chunks whose first occurrences are neighbours too are joined into runs; the bytes of a run and of its
+first occurrence are then fetched, once each, and compared. The joins by hash and by first occurrence
+read written tables on both sides, so adaptive execution can split a very common chunk. Texts meet
+their runs and their removals in merge joins whatever the sizes, so disk grows as the input does. SQL
+functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .work import Work, free_names, named
 
-WINDOW = 2
-DIVISOR = 2
 LONG_WORDS = 20
 MIN_WORDS = 15
 
@@ -36,58 +40,90 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _chunks(text: Column, window: int, divisor: int, long_words: int) -> Column:
-    """array<struct<first, n, words, body>>: the chunks of a text's lines, in order."""
-    # A boundary before line i: the rolling hash of the lines before it says so, or it or the one before is long.
-    def cut(m: Column) -> Column:
-        def before(x: Column, i: Column) -> Column:
-            rolling = F.lit(0).cast("bigint")
-            for j in range(1, window + 1):
-                past = F.when(i >= j, F.get(m, i - j).getField("h")).otherwise(F.lit(0).cast("bigint"))
-                rolling = rolling.bitwiseXOR(F.shiftleft(past, 7 * (j - 1)))
-            return F.when((i == 0) | (x.getField("words") >= long_words) | (F.get(m, i - 1).getField("words") >= long_words)
-                          | (F.pmod(F.xxhash64(rolling), F.lit(divisor)) == 0), i)
-        return F.filter(F.transform(m, before), lambda x: x.isNotNull())
+def _chunks(text: Column, long_words: int, min_words: int) -> Column:
+    """array<struct<hash, first, last>>: the chunks that a text's lines open and close."""
+    alone = max(min_words, long_words)
 
-    def chunks(lines: Column) -> Column:
-        marks = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), _words(x).alias("words")))
+    # ``at``: for each word (at most min_words a line) the line it stands in, among those that aren't blank.
+    def spans(solid: Column, at: Column) -> Column:
+        def opened(k: Column, p: Column) -> Column:
+            last = F.get(at, p + (min_words - 1))
+            return F.when(F.get(at, p - 1).eqNullSafe(k), None).when(F.get(solid, k).getField("words") >= alone, _pair(k, k)).when(
+                last.isNotNull() & (k + 1 < F.size(solid)), _pair(k, F.greatest(last, k + 1)))
 
-        def chunk(m: Column, c: Column, s: Column, k: Column) -> Column:
-            n = F.coalesce(F.get(c, k + 1), F.size(lines)) - s
-            words = F.aggregate(F.slice(m, s + 1, n), F.lit(0), lambda total, x: total + x.getField("words"))
-            return F.struct(s.alias("first"), n.alias("n"), words.alias("words"), F.array_join(F.slice(lines, s + 1, n), "\n").alias("body"))
+        def closed(k: Column, p: Column) -> Column:
+            first = F.get(at, p - (min_words - 1))
+            return F.when(F.get(at, p + 1).eqNullSafe(k) | (F.get(solid, k).getField("words") >= alone), None).when(
+                first.isNotNull() & (k > 0), _pair(F.least(first, k - 1), k))
 
-        return _let(marks, lambda m: _let(cut(m), lambda c: F.transform(c, lambda s, k: chunk(m, c, s, k))))
+        both = F.concat(F.filter(F.transform(at, opened), lambda x: x.isNotNull()), F.filter(F.transform(at, closed), lambda x: x.isNotNull()))
+        return F.array_distinct(both)
 
-    return _let(F.split(text, "\n", -1), chunks)
+    def chunks(marks: Column, hashes: Column, solid: Column) -> Column:
+        at = F.flatten(F.transform(solid, lambda x, k: F.array_repeat(k, F.least(x.getField("words"), F.lit(min_words)))))
 
+        def chunk(pair: Column) -> Column:
+            first = F.get(solid, F.shiftright(pair, 31).cast("int")).getField("i")
+            last = F.get(solid, pair.bitwiseAND(F.lit(2**31 - 1)).cast("int")).getField("i")
+            return F.struct(F.xxhash64(F.slice(hashes, first + 1, last - first + 1)).alias("hash"), first.alias("first"), last.alias("last"))
 
-def _placed(docs: DataFrame, text_col: str, window: int, divisor: int, long_words: int, min_words: int) -> DataFrame:
-    """(row, id, first line, lines, words, text) of the chunks that may be removed."""
-    text = F.coalesce(F.col(named([], text_col)).cast("string"), F.lit(""))
-    return (docs.select("row", "id", F.inline(_chunks(text, window, divisor, long_words)))
-            .filter(F.col("words") >= F.when(F.col("n") > 1, min_words).otherwise(max(min_words, long_words))))
+        return _let(at, lambda a: F.transform(spans(solid, a), chunk))
 
+    marks = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), _words(x).alias("words")))
+    return _let(marks, lambda m: _let(F.transform(m, lambda x: x.getField("h")),
+                                      lambda h: _let(F.filter(m, lambda x: x.getField("words") > 0), lambda solid: chunks(m, h, solid))))
 
-def _removals(work: Work, docs: DataFrame, id_col: str, text_col: str, window: int, divisor: int, long_words: int,
-              min_words: int) -> DataFrame:
-    """(row, first, n, words) of the chunks to remove. ``docs`` has its row numbers in ``row``."""
-    placed = _placed(docs.withColumn("id", F.col(named([], id_col))), text_col, window, divisor, long_words, min_words)
-    order = F.struct(F.col("id").isNull().alias("last"), "id", "row", "first")
-    seen = (placed.select(F.xxhash64("body").alias("hash"), order.alias("at"))
-            .groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("keep")).filter("n > 1"))
-    repeated = work.save(seen.select("hash", "keep"), "repeated")
-    again = work.save(placed.withColumn("hash", F.xxhash64("body")).withColumn("at", order)
-                      .join(repeated.hint("shuffle_hash"), "hash").select("hash", "row", "id", "first", "n", "words", "body", (F.col("at") == F.col("keep")).alias("kept")),
-                      "again")
-    kept = again.filter("kept").select("hash", F.col("body").alias("kept_body"))
-    return work.save(again.filter("not kept").join(kept, "hash").filter(F.col("body") == F.col("kept_body"))
-                     .select("row", "id", "first", "n", "words"), "removals")
+
+def _pair(first: Column, last: Column) -> Column:
+    return F.shiftleft(first.cast("bigint"), 31) + last.cast("bigint")
+
+
+def _removals(work: Work, docs: DataFrame, long_words: int, min_words: int) -> DataFrame:
+    """(row, id, first, last) of the lines to remove, of ``docs`` (row, id_, text_)."""
+    text = F.coalesce("text_", F.lit(""))
+    placed = work.save(docs.select("row", F.col("id_").alias("id"), F.inline(_chunks(text, long_words, min_words))), "placed")
+    repeated = work.save(placed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "repeated")
+    hits = work.save(placed.join(repeated.hint("shuffle_hash"), "hash"), "hits")
+    order = F.struct(F.col("id").isNull().alias("null"), "id", "row", "first", "last")
+    kept = work.save(hits.groupBy("hash").agg(F.min(order).alias("keep")), "kept")
+    again = (hits.join(kept, "hash").filter(order != F.col("keep"))
+             .select("row", "id", "first", "last", F.col("keep.row").alias("kept_row"), F.col("keep.id").alias("kept_id"),
+                     (F.col("first") - F.col("keep.first")).alias("shift"))
+             .filter(~((F.col("row") == F.col("kept_row")) & F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("last") - F.col("shift") >= F.col("first")))))
+    # Runs: chunks that overlap or touch, as their first occurrences do.
+    pair = ["row", "id", "kept_row", "kept_id", "shift"]
+    by = Window.partitionBy(*pair).orderBy("first", "last")
+    reach = F.max("last").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    starts = again.withColumn("starts", F.coalesce(F.col("first") > reach + 1, F.lit(True)).cast("int"))
+    runs = work.save(starts.withColumn("run", F.sum("starts").over(by.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*pair, "run")
+                     .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.collect_set(F.struct("first", "last")).alias("parts"))
+                     .withColumns({"kept_first": F.col("first") - F.col("shift"), "kept_last": F.col("last") - F.col("shift")}).drop("run", "shift"), "runs")
+    place = ["kept_row", "kept_id", "kept_first", "kept_last"]
+    firsts = runs.select(*place).distinct().select(
+        F.col("kept_row").alias("row"), F.col("kept_id").alias("id"), F.col("kept_first").alias("first"), F.col("kept_last").alias("last"))
+    wanted = runs.unionByName(firsts, allowMissingColumns=True)
+    ask = ["first", "last", "parts", *place]
+    wanted = wanted.groupBy(F.col("row").alias("row_"), "id").agg(F.collect_list(F.struct(*ask)).alias("asked"))
+    got = docs.join(wanted.hint("merge"), (F.col("row") == F.col("row_")) & F.col("id_").eqNullSafe(F.col("id"))).select("row", "id", F.inline(_let(
+        F.split(text, "\n", -1), lambda lines: F.transform("asked", lambda r: F.struct(*(r.getField(c).alias(c) for c in ask), F.array_join(
+            F.slice(lines, r.getField("first") + 1, r.getField("last") - r.getField("first") + 1), "\n").alias("body"))))))
+    got = work.save(got, "bodies")
+    bodies = got.filter("kept_row is null").groupBy(F.col("row").alias("row_"), F.col("id").alias("id_"), F.col("first").alias("first_"),
+                                                    F.col("last").alias("last_")).agg(F.first("body").alias("kept_body"))
+    bodies = work.save(bodies, "first_bodies")
+    same = got.filter("kept_row is not null").join(bodies, (F.col("kept_row") == F.col("row_")) & F.col("kept_id").eqNullSafe(F.col("id_"))
+                                                   & (F.col("kept_first") == F.col("first_")) & (F.col("kept_last") == F.col("last_")))
+
+    def part(body: str, p: Column) -> Column:
+        return F.slice(F.split(body, "\n", -1), p.getField("first") - F.col("first") + 1, p.getField("last") - p.getField("first") + 1)
+
+    whole = F.array(F.struct("first", "last"))
+    return work.save(same.select("row", "id", F.inline(F.when(F.col("body") == F.col("kept_body"), whole).otherwise(
+        F.filter("parts", lambda p: part("body", p) == part("kept_body", p))))), "removals")
 
 
 def _gone(removals: DataFrame) -> DataFrame:
-    return removals.groupBy("row", F.col("id").alias("gone_id")).agg(F.sort_array(F.collect_list(F.struct("first", "n"))).alias("gone"), F.sum("n").alias("lines"),
-                                       F.sum("words").alias("words"))
+    return removals.groupBy("row", F.col("id").alias("gone_id")).agg(F.collect_set(F.struct("first", "last")).alias("gone"))
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -96,43 +132,53 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumn("row", F.xxhash64(F.col(named([], id_col)).cast("string"), F.col(named([], text_col)).cast("string")))
 
 
-def _without(text: Column, gone: Column) -> Column:
-    taken = F.flatten(F.transform(gone, lambda g: F.sequence(g["first"], g["first"] + g["n"] - 1)))
+def _taken(gone: Column) -> Column:
+    """The numbers of the lines that go."""
+    return F.array_distinct(F.flatten(F.transform(gone, lambda g: F.sequence(g["first"], g["last"]))))
 
-    def rest(lines: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), taken)
-        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
-    return F.when(gone.isNull(), text).otherwise(_let(F.split(text, "\n", -1), rest))
+def _rest(lines: Column, taken: Column) -> Column:
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), taken)
+    return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
 
-def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR,
-                   long_words: int = LONG_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+def _without(text: Column, gone: Column) -> Column:
+    return F.when(gone.isNull(), text).otherwise(_let(F.split(text, "\n", -1), lambda lines: _rest(lines, _taken(gone))))
+
+
+def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = LONG_WORDS,
+                   min_words: int = MIN_WORDS) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, n_lines, n_removed (lines), words_removed,
     text_sha256 (of the text that stays). See ``drop_repeated_chunks`` for the rules."""
     work = Work(docs.sparkSession, "lines")
     narrow = _numbered(docs.select(F.col(named([], id_col)).alias("id_"), F.col(named([], text_col)).cast("string").alias("text_")), "id_", "text_")
-    gone = _gone(_removals(work, narrow, "id_", "text_", window, divisor, long_words, min_words))
+    gone = _gone(_removals(work, narrow, long_words, min_words))
     text = F.coalesce("text_", F.lit(""))
-    return narrow.join(gone.withColumnRenamed("row", "gone_row"), (F.col("row") == F.col("gone_row")) & F.col("id_").eqNullSafe(F.col("gone_id")), "left").select(
-        F.col("id_").alias(id_col), F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"),
-        F.coalesce("lines", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("words", F.lit(0)).cast("long").alias("words_removed"),
-        F.sha2(_without(text, F.col("gone")), 256).alias("text_sha256"))
+
+    def report(lines: Column, taken: Column) -> Column:
+        words = F.aggregate(taken, F.lit(0).cast("long"), lambda total, i: total + _words(F.get(lines, i)))
+        return F.struct(F.size(taken).cast("long").alias("n_removed"), words.alias("words_removed"), F.sha2(_rest(lines, taken), 256).alias("text_sha256"))
+
+    cut = _let(F.split(text, "\n", -1), lambda lines: _let(_taken(F.col("gone")), lambda taken: report(lines, taken)))
+    stays = F.struct(F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("words_removed"), F.sha2(text, 256).alias("text_sha256"))
+    return (narrow.join(gone.withColumnRenamed("row", "gone_row").hint("merge"), (F.col("row") == F.col("gone_row")) & F.col("id_").eqNullSafe(F.col("gone_id")), "left")
+            .select(F.col("id_").alias(id_col), F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"),
+                    F.inline(F.array(F.when(F.col("gone").isNull(), stays).otherwise(cut)))))
 
 
-def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                         divisor: int = DIVISOR, long_words: int = LONG_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int = LONG_WORDS,
+                         min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs``, all columns, with repeated chunks of lines removed from the text.
 
     The first occurrence by id (null last) and place stays. A text of which nothing stays is empty; a
     null text stays null; rows that agree in id and text count as one row and get the same text.
-    Short lines alone, such as headings, stay. Columns other than the two are passed on."""
+    Single lines of under ``long_words`` words, such as headings, stay. Columns other than the two are passed on."""
     work = Work(docs.sparkSession, "lines")
     row, gone_row, gone_id, gone_name = free_names(docs.columns, "row", "gone_row", "gone_id", "gone")
     narrow = _numbered(docs.select(F.col(named([], id_col)).alias("id_"), F.col(named([], text_col)).cast("string").alias("text_")), "id_", "text_")
-    gone = _gone(_removals(work, narrow, "id_", "text_", window, divisor, long_words, min_words))
+    gone = _gone(_removals(work, narrow, long_words, min_words))
     gone = gone.select(F.col("row").alias(gone_row), F.col("gone_id").alias(gone_id), F.col("gone").alias(gone_name))
     text = F.col(named([], text_col))
     keyed = docs.withColumn(row, F.xxhash64(F.col(named([], id_col)).cast("string"), text.cast("string")))
-    out = keyed.join(gone, (F.col(row) == F.col(gone_row)) & F.col(named([], id_col)).eqNullSafe(F.col(gone_id)), "left")
+    out = keyed.join(gone.hint("merge"), (F.col(row) == F.col(gone_row)) & F.col(named([], id_col)).eqNullSafe(F.col(gone_id)), "left")
     return out.withColumn(text_col, _without(text.cast("string"), F.col(gone_name))).select(*[named([], c) for c in docs.columns])

@@ -62,6 +62,26 @@ def test_empty_table(spark):
     assert lc.drop_repeated_chunks(frame(spark, [])).count() == 0 and lc.removed_chunks(frame(spark, [])).count() == 0
 
 
+def test_passages_of_short_lines_go_whole(spark):
+    rng = random.Random(5)
+    docs, planted = [], []
+    for k, (n, width) in enumerate([(3, 18), (4, 14), (6, 10), (11, 6), (26, 3), (30, 2), (5, 19), (9, 7)] * 3):
+        lines = [" ".join(f"p{k}x{rng.random()}" for _ in range(width)) for _ in range(n)]
+        for copy in range(3):
+            docs.append((len(docs), "\n".join([*unique(rng, 2), *lines, *unique(rng, 2)])))
+        planted.append((len(docs) - 3, lines))
+    own = [(len(docs) + i, "\n".join(["}", *unique(rng, 1), "A heading", "}", *unique(rng, 1), "return None"])) for i in range(5)]
+    out = dict((r.doc_id, r.text) for r in lc.drop_repeated_chunks(frame(spark, docs + own)).collect())
+    for first, lines in planted:
+        assert out[first] == docs[first][1]
+        for d in (first + 1, first + 2):  # the repeats go whole, the lines about them stay
+            before = docs[d][1].split("\n")
+            assert out[d].split("\n") == before[:2] + before[-2:]
+    assert all(out[d] == t for d, t in own)  # lines that are common one by one are no passage
+    report = {r.doc_id: r for r in lc.removed_chunks(frame(spark, docs + own)).collect()}
+    assert (report[1].n_removed, report[1].words_removed) == (3, 54)
+
+
 def test_words_lie_between_runs_of_white_space(spark):
     rng = random.Random(6)
     tabbed = "\t".join(f"t{i}" for i in range(50))

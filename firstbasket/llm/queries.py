@@ -32,7 +32,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(_read(spark, sf_dir, "documents"))
+    return secret_scan.scan(_read(spark, sf_dir, "documents"), figures=True)
 
 
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:

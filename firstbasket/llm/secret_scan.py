@@ -4,8 +4,11 @@ Base patterns find assignments, access keys and long hexadecimal runs in every w
 adds a fourth kind, *generic*: long runs with upper-case and lower-case letters and digits that no
 base span overlaps, which by themselves are as often examples, hashes or file names as credentials.
 What decides is who holds them: candidate values are hashed, and counted over the corpus by distinct
-repositories and owners. A value that one owner alone holds looks live, and a generic one becomes a
-span; a value that ``example_owners`` owners or more hold was copied from an example or a manual.
+repositories and owners. A value that ``example_owners`` owners or more hold, or that stands in
+``example_repos`` repositories or more whoever owns them, was copied from an example or a manual. Any
+other value that one owner alone holds looks live, and a generic one becomes a span. What is left,
+between two and ``example_owners`` owners in few repositories, is shared: nothing decides whether it
+is live, so it is counted apart and a generic one is no span.
 
 Only hashes and places are gathered, never texts. Counts go from (value, owner, repository) to
 (value, owner) to value, each a partial aggregate, so a value that a third of all rows hold is a few
@@ -29,6 +32,7 @@ KINDS = (("assign", ASSIGN, 8), ("access", ACCESS, 16), ("hex", HEX, 32))
 FIND = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": r"AKIA[A-Z0-9]{12}", "hex": r"[0-9a-f]{32}"}
 GENERIC = r"(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{24,}+)"
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS = 10
 
 
 def _spans(text: Column, kind: str, pattern: str, least: int, order: int) -> Column:
@@ -76,12 +80,19 @@ def ownership(held: DataFrame) -> DataFrame:
             .groupBy("hash").agg(F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners")))
 
 
+def verdicts(owners: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+    """``owners`` (hash, n_repos, n_owners) with ``verdict``: example, live or shared."""
+    example = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
+    return owners.withColumn("verdict", F.when(example, "example").when(F.col("n_owners") == 1, "live").otherwise("shared"))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None,
-         example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+         example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS, figures: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, n_assign, n_access, n_hex (base spans), base_sha256,
-    spans (kind:start:stop in code points, comma-joined: base spans and the generic ones that one owner
-    holds), n_live (spans whose value one owner holds), n_example (spans and generic candidates whose
-    value ``example_owners`` owners or more hold).
+    spans (kind:start:stop in code points, comma-joined: base spans and the live generic ones), n_live
+    (spans whose value is live), n_example (spans and generic candidates whose value is an example);
+    with ``figures`` also n_shared (those whose value is shared) and most_repos (repositories that hold
+    the row's most widespread value, 0 without one).
 
     A null text is empty and has no span. Without ``repo_col`` each id is a repository. Ids may be
     null or repeat; repeated rows each keep a row and are one repository; an empty table gives an
@@ -93,17 +104,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     held = work.save(held.select("row", "owner", "repo", F.sha2("span.value", 256).alias("hash"), "span.start", "span.rank", "span.stop",
                                  "span.kind"), "held")
     owners = work.save(ownership(held), "owners")
-    judged = held.join(owners, "hash").withColumn("live", F.col("n_owners") == 1)
+    judged = held.join(verdicts(owners, example_owners, example_repos), "hash")
+    number = lambda verdict: F.sum((F.col("verdict") == verdict).cast("long")).alias(f"n_{verdict}")
     spans = F.struct("start", "rank", "stop", "kind")
     by_row = (judged.groupBy("row").agg(
-        F.collect_list(F.when((F.col("kind") == "generic") & F.col("live"), spans)).alias("added"),
-        F.sum(F.col("live").cast("long")).alias("n_live"), F.sum((F.col("n_owners") >= example_owners).cast("long")).alias("n_example")))
+        F.collect_list(F.when((F.col("kind") == "generic") & (F.col("verdict") == "live"), spans)).alias("added"),
+        *(number(v) for v in ("live", "example", "shared")), F.max("n_repos").alias("most_repos")))
     place = lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"))
     base = F.transform("base", place)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     with_spans = rows.filter("row is not null").join(by_row, "row")
     without = rows.filter("row is null").withColumns({"added": F.array().cast("array<struct<start:int,rank:int,stop:int,kind:string>>"),
-                                                      "n_live": F.lit(0).cast("long"), "n_example": F.lit(0).cast("long")})
+                                                      **{c: F.lit(0).cast("long") for c in ("n_live", "n_example", "n_shared", "most_repos")}})
     out = with_spans.unionByName(without)
     return out.select(F.col("id").alias(id_col), *(count(k).alias(f"n_{k}") for k, _, _ in KINDS), F.sha2(_listed(base), 256).alias("base_sha256"),
-                      _listed(F.concat(base, "added")).alias("spans"), "n_live", "n_example")
+                      _listed(F.concat(base, "added")).alias("spans"), "n_live", "n_example", *(("n_shared", "most_repos") if figures else ()))

@@ -51,3 +51,14 @@ def test_copied_examples_and_single_owners(spark):
     out = {r.doc_id: r for r in ss.scan(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).collect()}
     assert out[0].spans == "" and out[0].n_example == 1 and out[0].n_live == 0
     assert out[9].spans == "generic:5:31" and out[9].n_live == 1
+
+
+def test_repositories_decide_within_one_owner(spark):
+    sample, own, both = "Abcdefghijklmnopqrstuvwx12", "Zyxwvutsrqponmlkjihgfedc98", "Mnopqrstuvwxyzabcdefghij34"
+    docs = [(i, f"see {sample} here", "hot") for i in range(40)] + [(100 + i, f"mine {own}", "hot") for i in range(3)]
+    docs += [(200, f"two {both}", "hot"), (201, f"two {both}", "cold"), (202, "none", "cold")]
+    out = {r.doc_id: r for r in ss.scan(spark.createDataFrame(docs, "doc_id bigint, text string, source string"), figures=True).collect()}
+    show = lambda d: (out[d].spans, out[d].n_live, out[d].n_example, out[d].n_shared, out[d].most_repos)
+    assert {show(i) for i in range(40)} == {("", 0, 1, 0, 40)}
+    assert {show(100 + i) for i in range(3)} == {("generic:5:31", 1, 0, 0, 3)}
+    assert show(200) == show(201) == ("", 0, 0, 1, 2) and show(202) == ("", 0, 0, 0, 0)

@@ -38,7 +38,11 @@ def confusion_counts(df: DataFrame, label: str, pred: str | Column) -> DataFrame
 
 def classification_report(df: DataFrame, label: str, pred: str | Column) -> DataFrame:
     """Rows '0', '1', 'accuracy', 'macro avg', 'weighted avg' with precision, recall, f1, support."""
-    c = confusion_counts(df, label, pred)
+    return confusion_counts(df, label, pred).select(F.explode(_report_rows()).alias("r")).select("r.*")
+
+
+def _report_rows() -> Column:
+    """The rows of a classification report, as an array, from the counts tn, fp, fn and tp."""
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     s0, s1 = tn + fp, fn + tp
     p0, r0, f0 = _div(tn, tn + fn), _div(tn, tn + fp), _div(2 * tn, 2 * tn + fn + fp)
@@ -49,12 +53,11 @@ def classification_report(df: DataFrame, label: str, pred: str | Column) -> Data
         return F.struct(F.lit(name).alias("class"), p.alias("precision"), r.alias("recall"),
                         f.alias("f1"), s.cast("bigint").alias("support"))
 
-    rows = F.array(
+    return F.array(
         row("0", p0, r0, f0, s0), row("1", p1, r1, f1, s1),
         row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"), _div(tn + tp, n), n),
         row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n),
         row("weighted avg", _div(p0 * s0 + p1 * s1, n), _div(r0 * s0 + r1 * s1, n), _div(f0 * s0 + f1 * s1, n), n))
-    return c.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[float]) -> DataFrame:
@@ -80,6 +83,12 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[
                        _div(tn + tp, tn + fp + fn + tp).alias("accuracy"))
 
 
+def threshold_report(df: DataFrame, label: str, score: str, thresholds: Sequence[float]) -> DataFrame:
+    """The whole classification report (both classes, accuracy and averages) at each threshold."""
+    counts = threshold_sweep(df, label, score, thresholds).select("threshold", "tn", "fp", "fn", "tp")
+    return counts.select("threshold", F.explode(_report_rows()).alias("r")).select("threshold", "r.*")
+
+
 def score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row per distinct score: positives and negatives (partial aggregation)."""
     return df.groupBy(F.col(score).alias("score")).agg(

@@ -21,6 +21,15 @@ def unique_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .where(F.col("row_count") > 1))
 
 
+def unique_key_report(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(table_name, key_columns, key_values, row_count) of the keys that occur more than once, over all
+    ``tables``; the values are strings in the order of the columns."""
+    parts = [unique_key_violations(df, keys[t]).select(
+        F.lit(t).alias("table_name"), F.lit(",".join(keys[t])).alias("key_columns"),
+        F.array(*[F.col(c).cast("string") for c in keys[t]]).alias("key_values"), "row_count") for t, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
             parent_cols: Sequence[str] | None = None) -> DataFrame:
     """Child rows whose (non-null) foreign key has no parent row (left anti join)."""

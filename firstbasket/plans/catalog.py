@@ -229,6 +229,11 @@ def q_dq_unique_key(spark, sf_dir):
     return quality.unique_key_violations(_roles(spark, sf_dir).order_items, PRIMARY_KEYS["order_items"])
 
 
+@register("dq_unique_keys")
+def q_dq_unique_keys(spark, sf_dir):
+    return quality.unique_key_report(_loaded_tables(spark, sf_dir), PRIMARY_KEYS)
+
+
 @register("dq_orphans")
 def q_dq_orphans(spark, sf_dir):
     return quality.orphan_report(FOREIGN_KEYS, _loaded_tables(spark, sf_dir))
@@ -523,6 +528,11 @@ def q_threshold_sweep(spark, sf_dir):
     return metrics.threshold_sweep(_scored(spark, sf_dir), "y_true", "y_proba", CFG.sweep_thresholds)
 
 
+@register("threshold_report")
+def q_threshold_report(spark, sf_dir):
+    return metrics.threshold_report(_scored(spark, sf_dir), "y_true", "y_proba", CFG.sweep_thresholds)
+
+
 @register("score_histogram")
 def q_score_histogram(spark, sf_dir):
     return profile.histogram(_scored(spark, sf_dir), ["y_proba"], bins=50)

@@ -1,5 +1,6 @@
 from firstbasket import schemas
 from firstbasket.operators import quality
+from firstbasket.schemas import PRIMARY_KEYS
 from firstbasket.sources import files
 
 
@@ -73,3 +74,16 @@ def test_pipeline_end_to_end_smallest_tables(spark, tmp_path):
     assert spark.read.parquet(paths["abt"]).count() == 137
     imp = spark.read.parquet(paths["importance"]).collect()
     assert any(r["feature"].startswith("customer_state_") for r in imp)
+
+
+def test_duplicate_keys_of_every_table_are_reported(spark):
+    tables = {"sellers": spark.createDataFrame([("s1",), ("s1",), ("s2",)], "seller_id string"),
+              "order_items": spark.createDataFrame([("o1", 1), ("o1", 1), ("o1", 2)], "order_id string, order_item_id int")}
+    got = quality.unique_key_report(tables, {"sellers": ("seller_id",), "order_items": ("order_id", "order_item_id")})
+    assert sorted(map(tuple, got.collect())) == [("order_items", "order_id,order_item_id", ["o1", "1"], 2), ("sellers", "seller_id", ["s1"], 2)]
+
+
+def test_the_registered_key_report_reads_every_mapped_table(spark):
+    from firstbasket.plans.catalog import REGISTRY
+    plan = REGISTRY["dq_unique_keys"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"{t} AS table_name" in plan for t in PRIMARY_KEYS if t != "geolocation")  # which has no role here

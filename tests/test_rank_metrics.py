@@ -112,3 +112,12 @@ def test_stratified_split_and_folds(spark):
     for r in f.groupBy("y", "fold").agg(F.count("*").alias("c")).collect():
         sizes.setdefault(r["y"], []).append(r["c"])
     assert all(len(v) == 3 and max(v) - min(v) <= 1 for v in sizes.values())
+
+
+def test_every_threshold_has_the_whole_report(spark):
+    df = spark.createDataFrame([(1, 0.9), (1, 0.2), (0, 0.6), (0, 0.1), (0, 0.3)], "y int, s double")
+    got = metrics.threshold_report(df, "y", "s", [0.5, 0.15]).collect()
+    assert len(got) == 10
+    for t in (0.5, 0.15):
+        one = metrics.classification_report(df.selectExpr("y", f"int(s >= {t}) AS p"), "y", "p").collect()
+        assert [tuple(r)[1:] for r in got if r.threshold == t] == [tuple(r) for r in one]

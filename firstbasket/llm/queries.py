@@ -2,7 +2,7 @@
 its whole table and returns the whole result.
 
 None has an SQL counterpart: fingerprints rest on XXH64 with a seed, suffix arrays, trained models, a
-tokenizer, or on iterations to a root, which the check engine's SQL has no functions for or would
+tokenizer, random projections, or on iterations to a root, which the check engine's SQL has no functions for or would
 need the same code in. ``tests/llm`` holds each against a brute-force version instead.
 """
 
@@ -12,7 +12,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import entropy_mix, imatch, line_chunks, rank_order_lang, secret_scan, simhash, suffix_decontam, token_histogram, transcripts, weak_quality
+from . import (
+    collision_dedup,
+    entropy_mix,
+    imatch,
+    line_chunks,
+    ns_kmeans,
+    qdwh_whitening,
+    rank_order_lang,
+    secret_scan,
+    simhash,
+    suffix_decontam,
+    token_histogram,
+    transcripts,
+    weak_quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,7 +81,19 @@ def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ns_kmeans.kmeans(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qdwh_whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op13_collision_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash, op2_secret_scan, op3_imatch, op4_line_chunks, op5_token_histogram, op6_transcripts, op7_entropy_mix, op8_suffix_decontam,
-    op9_rank_order_lang, op10_weak_quality)}
+    op9_rank_order_lang, op10_weak_quality, op11_ns_kmeans, op12_qdwh_whitening, op13_collision_dedup)}
 ORACLES: dict[str, str] = {}

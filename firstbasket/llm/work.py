@@ -16,6 +16,18 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+#: Of texts that a task hands to Python at once. Spark's own setting is 64 MB, which the executor and
+#: the worker each hold several times over.
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by their size unless the session says how."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 class Work:
     """A folder of written tables for one run of an operator."""
 
@@ -23,6 +35,7 @@ class Work:
         self.spark = spark
         self.folder = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self._n = 0
+        bounded_batches(spark)
 
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Writes ``df`` and returns a frame that reads the written files."""

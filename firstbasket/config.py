@@ -24,6 +24,11 @@ class Config:
     test_share: float = 0.2
     folds: int = 3
     deciles: int = 10
+    # The full random search: parameter draws, boosting rounds of each fit, and fits at a time.
+    draws: int = 30
+    trees: int = 800
+    parallel_fits: int = 4
+    logistic_iterations: int = 100
     # Persons with more orders than this are salted across several tasks in the label join.
     hot_key_rows: int = 1_000_000
     extra: dict = field(default_factory=dict, compare=False, hash=False)

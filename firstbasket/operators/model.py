@@ -2,9 +2,13 @@
 modelling set, a seeded random search over a fixed parameter space with stratified folds, class
 weighting for the rare positive label, scores, and feature importances.
 
-Training data never leaves the executors: features are assembled into vectors, the fold column
-comes from ``split.stratified_folds`` (``CrossValidator(foldCol=...)``), and candidate fits run in
-parallel threads on the driver that each submit distributed jobs.
+Training data never leaves the executors: features are encoded into vectors once, checkpointed to the
+session's folder, and every fit reads those. The fold column comes from
+``split.stratified_folds``; the fits of all folds and candidates run in parallel threads on the driver
+that each submit distributed jobs. Boosting checkpoints its residuals and keeps the rows' tree nodes
+(``CHECKPOINT_ROUNDS``), so 800 rounds don't grow one lineage and a lost executor re-reads files.
+
+A missing value is 0 with an indicator of its own, so a missing rate and a rate of 0 differ.
 """
 
 from __future__ import annotations
@@ -12,16 +16,18 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 # The search space of the boosted-tree classifier, in its original terms
 # (tree depth, minimum child weight, minimum split gain, row subsample, column subsample,
 # learning rate).
@@ -35,6 +41,8 @@ SEARCH_SPACE = {
 }
 DEFAULT_DRAWS = 30
 DEFAULT_TREES = 800
+CHECKPOINT_ROUNDS = 10
+MISSING = "__missing"
 
 
 def feature_columns(df: DataFrame, label: str, exclude: Sequence[str] = ()) -> list[str]:
@@ -53,15 +61,30 @@ def with_class_weight(df: DataFrame, label: str, ratio: float | None = None, wei
 
 
 def assemble(features: Sequence[str], out_col: str = "features") -> VectorAssembler:
-    """Features to one vector; missing values become 0 beforehand (see :func:`prepare`)."""
+    """Features to one vector; missing values become 0 and an indicator beforehand (see :func:`prepare`)."""
     return VectorAssembler(inputCols=list(features), outputCol=out_col, handleInvalid="keep")
 
 
-def prepare(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """Cast features to double with NULL as 0, label to double (Spark ML's expected types)."""
+def missing_columns(train: DataFrame, features: Sequence[str]) -> list[str]:
+    """The features that have missing values in ``train`` (one pass)."""
+    if not features:
+        return []
+    row = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
+    return [c for c in features if row[c]]
+
+
+def with_indicators(features: Sequence[str], missing: Sequence[str]) -> list[str]:
+    """Names of the prepared features: the features and an indicator for each of ``missing``."""
+    return [*features, *(f"{c}{MISSING}" for c in missing)]
+
+
+def prepare(df: DataFrame, label: str, features: Sequence[str], missing: Sequence[str] = ()) -> DataFrame:
+    """Features as doubles, label too (Spark ML's expected types). A missing value is 0, and each of
+    ``missing`` gets an indicator column that is 1 where it was missing."""
     cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
+    flags = [F.col(c).isNull().cast("double").alias(f"{c}{MISSING}") for c in missing]
     rest = [c for c in df.columns if c not in features and c != label]
-    return df.select(*rest, *cols, F.col(label).cast("double").alias(label))
+    return df.select(*rest, *cols, *flags, F.col(label).cast("double").alias(label))
 
 
 def param_draws(n: int = DEFAULT_DRAWS, seed: int = 42, space: dict | None = None) -> list[dict]:
@@ -77,7 +100,8 @@ def gbt(label: str, weight_col: str | None = "weight", max_iter: int = DEFAULT_T
         max_bins: int = 256, **params) -> GBTClassifier:
     """Boosted trees; ``params`` use the search-space names and map onto Spark's parameters
     (same roles, not the same numerics: split gain and child weight are on different scales)."""
-    est = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed, maxBins=max_bins)
+    est = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, seed=seed, maxBins=max_bins,
+                        checkpointInterval=CHECKPOINT_ROUNDS, cacheNodeIds=True)
     if weight_col:
         est.setWeightCol(weight_col)
     return _apply_params(est, params)
@@ -100,16 +124,6 @@ def _apply_params(est: GBTClassifier, params: dict) -> GBTClassifier:
     return est
 
 
-def param_maps(est: GBTClassifier, draws: Sequence[dict]) -> list[dict]:
-    maps = []
-    for d in draws:
-        copy = _apply_params(est.copy(), d)
-        maps.append({p: copy.getOrDefault(p) for p in (est.maxDepth, est.minInstancesPerNode, est.minInfoGain,
-                                                        est.subsamplingRate, est.featureSubsetStrategy,
-                                                        est.stepSize)})
-    return maps
-
-
 def logistic(label: str, weight_col: str | None = "weight", max_iter: int = 100, reg: float = 0.0) -> Pipeline:
     """Logistic regression on standardised features (a pipeline: scaler + model)."""
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True)
@@ -119,32 +133,56 @@ def logistic(label: str, weight_col: str | None = "weight", max_iter: int = 100,
     return Pipeline(stages=[scaler, lr])
 
 
-def fit(train: DataFrame, label: str, features: Sequence[str], estimator) -> PipelineModel:
-    """Assemble features and fit ``estimator`` (a classifier or a pipeline)."""
-    return Pipeline(stages=[assemble(features), estimator]).fit(train)
+def fit(train: DataFrame, label: str, features: Sequence[str], estimator, prep: Sequence | None = None) -> PipelineModel:
+    """Encode ``train`` once (``prep``: feature stages, default assembling ``features``), fit ``estimator``
+    (a classifier or a pipeline) on the checkpointed vectors."""
+    encoder, encoded = encode_once(train, label, features, prep)
+    return PipelineModel(stages=[*encoder.stages, estimator.fit(encoded)])
+
+
+def encode_once(train: DataFrame, label: str, features: Sequence[str], prep: Sequence | None = None,
+                keep: Sequence[str] = ("weight",)) -> tuple[PipelineModel, DataFrame]:
+    """The fitted feature stages, and the checkpointed frame of ``features`` vectors, label and ``keep``.
+    A checkpoint keeps the partitions and their order, so a seeded fit is the same each time."""
+    encoder = Pipeline(stages=list(prep) if prep is not None else [assemble(features)]).fit(train)
+    columns = ["features", label, *(c for c in keep if c in train.columns)]
+    checkpoint_dir(train.sparkSession)
+    return encoder, encoder.transform(train).select(*columns).checkpoint(eager=True)
 
 
 def tune(train: DataFrame, label: str, features: Sequence[str], estimator: GBTClassifier,
          draws: Sequence[dict], fold_col: str = "fold", parallelism: int = 4,
          prep: Sequence | None = None) -> tuple[PipelineModel, DataFrame]:
     """Random search with cross-validation on a fold column, scored by ROC-AUC; returns the
-    pipeline refitted on all training rows with the best parameters, and one row per candidate.
+    pipeline refitted on all training rows with the best parameters (of equal ones the first), and
+    one row per candidate.
 
     ``prep`` are the feature stages (default: assemble ``features``; pass ``sparse_encoder(...)``
-    for sparse one-hot input); they are refitted inside every fold.
+    for sparse one-hot input). They are fitted on all of ``train`` once, whose rows are checkpointed
+    as vectors with their fold; fits of every fold and candidate share them and run
+    ``parallelism`` at a time.
     """
+    spark = train.sparkSession
     evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                               metricName="areaUnderROC")
-    maps = param_maps(estimator, draws)
-    stages = list(prep) if prep is not None else [assemble(features)]
-    cv = CrossValidator(estimator=Pipeline(stages=stages + [estimator]), estimatorParamMaps=maps,
-                        evaluator=evaluator, foldCol=fold_col, parallelism=parallelism, seed=estimator.getSeed())
-    cv_model = cv.fit(train)
-    spark = train.sparkSession
+    encoder, encoded = encode_once(train, label, features, prep, keep=("weight", fold_col))
+    folds = sorted(r[0] for r in encoded.select(fold_col).distinct().collect())  # ``Config.folds`` rows
+    candidates = [_apply_params(estimator.copy(), d) for d in draws]
+
+    def auc(job: tuple[int, int]) -> float:
+        i, k = job
+        fitted = candidates[i].fit(encoded.where(F.col(fold_col) != k))
+        return float(evaluator.evaluate(fitted.transform(encoded.where(F.col(fold_col) == k))))
+
+    jobs = [(i, k) for i in range(len(candidates)) for k in folds]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        found = list(pool.map(auc, jobs))
+    means = [sum(found[i * len(folds):(i + 1) * len(folds)]) / len(folds) for i in range(len(candidates))]
+    best = candidates[max(range(len(means)), key=lambda i: (means[i], -i))]
     keys = list(draws[0].keys()) if draws else []
-    rows = [(i, *[float(draws[i][k]) for k in keys], float(m)) for i, m in enumerate(cv_model.avgMetrics)]
+    rows = [(i, *[float(draws[i][k]) for k in keys], m) for i, m in enumerate(means)]
     results = spark.createDataFrame(rows, ["candidate"] + keys + ["mean_cv_auc"])
-    return cv_model.bestModel, results
+    return PipelineModel(stages=[*encoder.stages, best.fit(encoded)]), results
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], label: str | None = None) -> DataFrame:
@@ -183,11 +221,6 @@ def sparse_encoder(categorical: Sequence[str], numeric: Sequence[str], out_col:
     return stages
 
 
-def fit_sparse(train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], estimator) -> PipelineModel:
-    """Fit ``estimator`` on sparse one-hot + numeric features (levels learned on ``train``)."""
-    return Pipeline(stages=sparse_encoder(categorical, numeric) + [estimator]).fit(train)
-
-
 def sparse_feature_names(model: PipelineModel, categorical: Sequence[str], numeric: Sequence[str]) -> list[str]:
     """Feature names in vector order: numeric columns, then ``{column}_{level}`` per level."""
     names = list(numeric)

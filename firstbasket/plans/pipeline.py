@@ -21,7 +21,9 @@ LABEL = "reordered_180d"
 
 
 def run(spark: SparkSession, src: Sources, cfg: Config, out_dir: str | None = None,
-        trees: int = model.DEFAULT_TREES, draws: int = model.DEFAULT_DRAWS, export_csv: bool = True) -> dict:
+        trees: int | None = None, draws: int | None = None, export_csv: bool = True) -> dict:
+    """``trees`` and ``draws`` default to those of ``cfg``. Returns the paths of what was written."""
+    trees, draws = trees or cfg.trees, draws or cfg.draws
     out = (out_dir or f"{checkpoint_dir(spark).rstrip('/')}/pipeline").rstrip("/")
     paths: dict[str, str] = {}
 
@@ -41,12 +43,14 @@ def run(spark: SparkSession, src: Sources, cfg: Config, out_dir: str | None = No
     flagged = split.stratified_split(cleaned, LABEL, PERSON, cfg.test_share, cfg.seed, folds=cfg.folds)
     categorical = list(clean.CATEGORICAL)
     numeric = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test", "fold"))
-    prepared = model.prepare(flagged, LABEL, numeric)
+    missing = model.missing_columns(flagged.where(F.col("is_test") == 0), numeric)
+    prepared = model.prepare(flagged, LABEL, numeric, missing)
+    numeric = model.with_indicators(numeric, missing)
     train = model.with_class_weight(prepared.where(F.col("is_test") == 0), LABEL)
     test = prepared.where(F.col("is_test") == 1)
     est = model.gbt(LABEL, max_iter=trees, seed=cfg.seed)
     best, search = model.tune(train, LABEL, numeric, est, model.param_draws(draws, cfg.seed),
-                              prep=model.sparse_encoder(categorical, numeric))
+                              parallelism=cfg.parallel_fits, prep=model.sparse_encoder(categorical, numeric))
     paths["search"] = files.write_parquet(search, f"{out}/search")
     features = model.sparse_feature_names(best, categorical, numeric)
 

@@ -27,4 +27,32 @@ def test_class_weight_is_negative_to_positive_ratio(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "y int")
     w = {r["y"]: r["weight"] for r in model.with_class_weight(df, "y").select("y", "weight").distinct().collect()}
     assert w == {0: 1.0, 1: 3.0}
-    assert F is not None
+
+
+def test_missing_and_zero_give_different_vectors(spark):
+    df = spark.createDataFrame([(1, None, "x", 1), (2, 0.0, "x", 0), (3, 0.5, None, 0)], "id long, rate double, kind string, y int")
+    assert model.missing_columns(df, ["rate"]) == ["rate"]
+    prepared = model.prepare(df, "y", ["rate"], ["rate"])
+    names = model.with_indicators(["rate"], ["rate"])
+    dense = {r.id: r.features.toArray().tolist() for r in model.assemble(names).transform(prepared).collect()}
+    assert dense == {1: [0.0, 1.0], 2: [0.0, 0.0], 3: [0.5, 0.0]}
+    encoder, _ = model.encode_once(prepared, "y", names, model.sparse_encoder(["kind"], names), keep=())
+    sparse = {r.id: r.features.toArray().tolist() for r in encoder.transform(prepared).collect()}
+    assert sparse[1] != sparse[2] and sparse[1][2:] == sparse[2][2:]
+
+
+def test_search_runs_every_draw_on_every_fold(spark):
+    df = _data(spark).withColumn("fold", (F.col("id") % 3).cast("int"))
+    draws = model.param_draws(3, 5)
+    best, results = model.tune(df, "y", ["a", "b"], model.gbt("y", max_iter=12, seed=7), draws)
+    got = results.orderBy("candidate").collect()
+    assert [r.max_depth for r in got] == [d["max_depth"] for d in draws] and all(0.5 < r.mean_cv_auc <= 1 for r in got)
+    tree = best.stages[-1]
+    first = max(got, key=lambda r: (r.mean_cv_auc, -r.candidate))
+    assert tree.getMaxDepth() == first.max_depth and tree.getStepSize() == first.learning_rate and len(tree.trees) <= 12
+    assert tree.getCheckpointInterval() == model.CHECKPOINT_ROUNDS and tree.getCacheNodeIds()
+
+
+def test_default_search_is_the_whole_one():
+    from firstbasket.config import Config
+    assert (Config().draws, Config().trees) == (model.DEFAULT_DRAWS, model.DEFAULT_TREES) == (30, 800)

@@ -27,14 +27,16 @@ def group_rate(df: DataFrame, key: str, label: str, prefix: str) -> DataFrame:
 
 
 def target_encode(df: DataFrame, key: str, label: str, prefix: str,
-                  fit_on: Column | None = None, keep_counts: bool = False) -> DataFrame:
+                  fit_on: Column | None = None, keep_counts: bool = False, rates_from: DataFrame | None = None) -> DataFrame:
     """Adds ``{prefix}_reorder_rate``: the label mean of the row's group.
 
     ``fit_on`` restricts the rows the rates are learned from (e.g. the training split) while every
     row still receives its group's rate; by default all rows are used, as the original pipeline did.
-    NULL keys never receive a rate.
+    NULL keys never receive a rate. ``rates_from`` is the frame to learn them from where ``df`` already
+    has further joins that the rates don't need.
     """
-    fit = df if fit_on is None else df.where(fit_on)
+    df_fit = df if rates_from is None else rates_from
+    fit = df_fit if fit_on is None else df_fit.where(fit_on)
     rates = group_rate(fit.where(F.col(key).isNotNull()), key, label, prefix)
     if not keep_counts:
         rates = rates.select(key, f"{prefix}_reorder_rate")

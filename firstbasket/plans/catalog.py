@@ -70,12 +70,17 @@ def _sources(spark, sf_dir):
     return _memo("sources", spark, sf_dir, lambda: testbed_sources(spark, sf_dir, _roles(spark, sf_dir)))
 
 
+def _base(spark, sf_dir) -> DataFrame:
+    """The base table's own columns, without rates: planned without running a job."""
+    return abt_plan.base_rows(_sources(spark, sf_dir), CFG)
+
+
 def _abt(spark, sf_dir) -> DataFrame:
     return abt_plan.build_abt(_sources(spark, sf_dir), CFG)
 
 
 def _bi(spark, sf_dir) -> DataFrame:
-    return abt_plan.bi_view(_abt(spark, sf_dir))
+    return abt_plan.bi_view(_base(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- cohort (spine and label)
@@ -383,18 +388,18 @@ def q_describe_categorical(spark, sf_dir):
 
 @register("quantiles")
 def q_quantiles(spark, sf_dir):
-    q = profile.exact_quantiles(_abt(spark, sf_dir), ["review_response_delay_days"], [0.1, 0.99])
+    q = profile.exact_quantiles(_base(spark, sf_dir), ["review_response_delay_days"], [0.1, 0.99])
     return q.select("prob", F.round("value", profile.ROUND).alias("value"))
 
 
 @register("value_counts")
 def q_value_counts(spark, sf_dir):
-    return profile.value_counts(_abt(spark, sf_dir), "reordered_180d")
+    return profile.value_counts(_base(spark, sf_dir), "reordered_180d")
 
 
 @register("value_shares")
 def q_value_shares(spark, sf_dir):
-    return profile.value_shares(_abt(spark, sf_dir), "reordered_180d")
+    return profile.value_shares(_base(spark, sf_dir), "reordered_180d")
 
 
 @register("type_family_counts")
@@ -416,24 +421,24 @@ def q_preview(spark, sf_dir):
 
 @register("impute_flags")
 def q_impute_flags(spark, sf_dir):
-    a = _abt(spark, sf_dir).select(PERSON, *clean.FILL_ZERO)
+    a = _base(spark, sf_dir).select(PERSON, *clean.FILL_ZERO)
     return clean.impute_reviews(a)
 
 
 @register("calendar_features")
 def q_calendar_features(spark, sf_dir):
-    return clean.calendar_features(_abt(spark, sf_dir).select(PERSON, "first_order_timestamp"))
+    return clean.calendar_features(_base(spark, sf_dir).select(PERSON, "first_order_timestamp"))
 
 
 @register("late_flag")
 def q_late_flag(spark, sf_dir):
-    a = clean.narrow_types(_abt(spark, sf_dir).select(PERSON, "actual_vs_estimated_delivery_days"))
+    a = clean.narrow_types(_base(spark, sf_dir).select(PERSON, "actual_vs_estimated_delivery_days"))
     return clean.add_late_flag(a)
 
 
 @register("one_hot")
 def q_one_hot(spark, sf_dir):
-    a = _abt(spark, sf_dir).select(PERSON, *clean.CATEGORICAL)
+    a = _base(spark, sf_dir).select(PERSON, *clean.CATEGORICAL)
     return encode.one_hot(a, list(clean.CATEGORICAL), dtype="tinyint")
 
 
@@ -491,7 +496,7 @@ def q_stratified_split(spark, sf_dir):
 
 @register("stratified_folds")
 def q_stratified_folds(spark, sf_dir):
-    a = _abt(spark, sf_dir).select(PERSON, LABEL)
+    a = _base(spark, sf_dir).select(PERSON, LABEL)
     flagged = split.stratified_split(a, LABEL, PERSON, CFG.test_share, CFG.seed, folds=CFG.folds)
     return flagged.where(F.col("is_test") == 0).select(PERSON, LABEL, "fold")
 

@@ -31,6 +31,8 @@ CAP = 2.0
 STEPS = 60
 TOLERANCE = 1e-9
 BINS = 4096
+SLICE = 10_000  # repeated rows numbered in one task
+GOLDEN = 0.6180339887498949
 PASSES = 3
 
 
@@ -124,6 +126,31 @@ def _shift(work: Work, rates: DataFrame, targets: DataFrame, bins: int) -> DataF
     return work.save(now.select("source", "passes"), "passes")
 
 
+def _told_apart(work: Work, rows: DataFrame) -> DataFrame:
+    """``rows`` with chances that differ between repeated rows: the n-th of equal ones is moved on by n
+    golden sections. Equal rows are numbered in slices of about ``SLICE``, so no task holds them all;
+    which of them gets which number makes no difference."""
+    key = ["id", "source", "chance"]
+    again = work.save(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "again")
+    if again.isEmpty():
+        return rows
+    a = again.select(*(F.col(c).alias(f"{c}_2") for c in key), "n")
+    same = rows.id.eqNullSafe(a.id_2) & rows.source.eqNullSafe(a.source_2) & rows.chance.eqNullSafe(a.chance_2)
+    sliced = work.save(rows.join(a, same, "left").select(*rows.columns, F.when(F.col("n").isNotNull(), F.pmod(
+        F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("n") / SLICE).cast("bigint"))).alias("slice")), "sliced")
+    many = sliced.filter("slice is not null")
+    before = (many.groupBy(*key, "slice").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("first", F.sum("n").over(Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+              .select(*(F.col(c).alias(f"{c}_2") for c in key), F.col("slice").alias("slice_2"), "first"))
+    at = F.row_number().over(Window.partitionBy(*key, "slice").orderBy(F.lit(0)))
+    numbered = many.withColumn("at", at)
+    joined = numbered.join(before, numbered.id.eqNullSafe(before.id_2) & numbered.source.eqNullSafe(before.source_2)
+                           & (numbered.chance == before.chance_2) & (numbered.slice == before.slice_2))
+    moved = F.col("chance") + (F.col("first") + F.col("at") - 1) * F.lit(GOLDEN)
+    out = joined.withColumn("moved", moved - F.floor(moved)).select(*(F.col("moved").alias(c) if c == "chance" else c for c in rows.columns))
+    return work.save(sliced.filter("slice is null").select(*rows.columns).unionByName(out), "told-apart")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS,
         share: float = SHARE, cap: float = CAP) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, size (words), source_size, target (its source's),
@@ -131,13 +158,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Sources by code point, null last, take ``weights`` in turn; all targets together are ``share``
     times all sizes. A null or wordless text has size 0 and takes nothing. Rows that repeat each keep a
-    row, and those with equal id and text are rounded alike; a null id is rounded like any other. An
+    row; those with equal id, source and text are numbered, and the number takes part in the rounding, so
+    some of them get a copy more; a null id is rounded like any other. An
     empty table gives an empty result; columns besides the three are not read. Reruns agree."""
     work = Work(docs.sparkSession, "mix")
     id_, text = F.col(named([], id_col)), F.col(named([], text_col)).cast("string")
     chance = (F.pmod(F.xxhash64(id_.cast("string"), text), F.lit(1 << 40)) / float(1 << 40))
     rows = work.save(docs.select(id_.alias("id"), F.col(named([], source_col)).cast("string").alias("source"), size_of(text).alias("size"),
                                  chance.alias("chance")), "sizes")
+    rows = _told_apart(work, rows)
     sizes = work.save(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "counts")
     targets = _targets(work, sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, share, cap)
     tilt = _tilt(work, sizes, targets, share, cap, STEPS, TOLERANCE)

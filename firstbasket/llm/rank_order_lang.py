@@ -158,7 +158,8 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", si
     counts = (rows.filter("lang is not null and text is not null").mapInArrow(_learn, "lang string, gram bigint, n bigint")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < size).select("lang", "gram", "rank")
+    # Spark cuts each task's rows to the limit before they meet when it is set on the row number itself.
+    return counts.withColumn("row", F.row_number().over(order)).filter(F.col("row") <= size).select("lang", "gram", (F.col("row") - 1).alias("rank"))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5,

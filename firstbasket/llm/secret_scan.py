@@ -35,22 +35,36 @@ EXAMPLE_OWNERS = 3
 EXAMPLE_REPOS = 10
 
 
-def _spans(text: Column, kind: str, pattern: str, least: int, order: int) -> Column:
-    """array<struct<start, kind order, stop, kind, value>> of the leftmost matches that don't overlap,
-    in code points: a match starts after all pieces and matches before it."""
+def _found(text: Column, pattern: str, find: str) -> Column:
+    """array<struct<gap, len, value>> of the leftmost matches that don't overlap: the code points between
+    the match before and this one, its own, and its value. Empty unless ``find`` is in the text."""
     pieces = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     whole = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.length(x))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     found = F.arrays_zip(F.slice(pieces, 1, F.size(whole)).alias("gap"), whole.alias("len"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
-    placed = F.aggregate(found, start, lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + x["len"]).alias("at"),
-        F.when(F.length(x["value"]) >= least, F.concat(acc["out"], F.array(F.struct(
-            (acc["at"] + x["gap"]).alias("start"), F.lit(order).alias("rank"), (acc["at"] + x["gap"] + x["len"]).alias("stop"),
-            F.lit(kind).alias("kind"), x["value"].alias("value"))))).otherwise(acc["out"]).alias("out")), lambda acc: acc["out"])
-    return placed
+    return F.when(text.rlike(find), found).otherwise(F.array().cast("array<struct<gap:int,len:int,value:string>>"))
 
 
+def _spans(found: Column, kind: str, least: int, order: int) -> Column:
+    """array<struct<start, kind order, stop, kind, value>> of the column ``found``, in code points."""
+    # In blocks, each placed from its own offset: an array that grows match by match would be copied for each.
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(found) / _BLOCK).cast("int") - 1, F.lit(0))),
+                         lambda b: F.slice(found, b * _BLOCK + 1, F.lit(_BLOCK)))
+    long = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + x["len"]))
+    offsets = F.aggregate(long, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda acc, n: F.struct(
+        (acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def placed(block: Column, offset: Column) -> Column:
+        start = F.struct(offset.alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+        return F.aggregate(block, start, lambda acc, x: F.struct(
+            (acc["at"] + x["gap"] + x["len"]).alias("at"),
+            F.when(F.length(x["value"]) >= least, F.concat(acc["out"], F.array(F.struct(
+                (acc["at"] + x["gap"]).alias("start"), F.lit(order).alias("rank"), (acc["at"] + x["gap"] + x["len"]).alias("stop"),
+                F.lit(kind).alias("kind"), x["value"].alias("value"))))).otherwise(acc["out"]).alias("out")), lambda acc: acc["out"])
+    return F.flatten(F.zip_with(blocks, offsets, placed))
+
+
+_BLOCK = 128
 _SPAN = "struct<start:int,rank:int,stop:int,kind:string,value:string>"
 
 
@@ -62,12 +76,13 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo
     """(id, owner, repo, base, generic) with one row per row of ``docs``: the spans of the base kinds
     and those of the generic kind that overlap none of them."""
     text = F.coalesce(F.col(named([], text_col)).cast("string"), F.lit(""))
-    none = F.array().cast(f"array<{_SPAN}>")
-    kinds = [F.when(text.rlike(FIND[k]), _spans(text, k, p, least, i)).otherwise(none) for i, (k, p, least) in enumerate(KINDS)]
-    mixed = F.filter(F.when(text.rlike(GENERIC), _spans(text, "generic", GENERIC, 24, len(KINDS))).otherwise(none),
-                     lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]"))
-    found = docs.select(F.col(named([], id_col)).alias("id"), F.col(named([], owner_col)).cast("string").alias("owner"),
-                        F.col(named([], repo_col or id_col)).cast("string").alias("repo"), F.concat(*kinds).alias("base"), mixed.alias("mixed"))
+    kinds = (*((k, p, FIND[k], least) for k, p, least in KINDS), ("generic", GENERIC, GENERIC, 24))
+    # Matches are a column of their own, which Spark evaluates once; the placing reads it several times.
+    matched = docs.select(F.col(named([], id_col)).alias("id"), F.col(named([], owner_col)).cast("string").alias("owner"),
+                          F.col(named([], repo_col or id_col)).cast("string").alias("repo"), *(_found(text, p, find).alias(f"found_{k}") for k, p, find, _ in kinds))
+    spans = [_spans(F.col(f"found_{k}"), k, least, i) for i, (k, _, _, least) in enumerate(kinds)]
+    mixed = F.filter(spans[-1], lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]"))
+    found = matched.select("id", "owner", "repo", F.concat(*spans[:-1]).alias("base"), mixed.alias("mixed"))
     free = F.filter("mixed", lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     return found.select("id", "owner", "repo", "base", free.alias("generic"))
 

@@ -10,6 +10,7 @@ holds more than ``BLOCK`` lengths or the blocks.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -22,6 +23,9 @@ from .work import Work, named
 BLOCK = 1024
 #: The pre-tokenizer that goes with the byte-level ranks (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A long run of what the pattern takes for white space. Its engine keeps a step for each character of
+#: such a run, and a million of them end the process.
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 _ENCODINGS: dict = {}
 
 
@@ -34,10 +38,22 @@ def _encoding(ranks: bytes):
     return _ENCODINGS[key]
 
 
+def count_tokens(encoding, text: str) -> int:
+    """The exact number of tokens. A long run of white space is encoded as the one piece that the
+    pattern makes of it: all of it at the end of the text, else all but its last character, which
+    the pattern looks at together with what follows."""
+    n, at = 0, 0
+    for run in LONG_RUN.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        n += len(encoding.encode_ordinary(text[at : run.start()])) + len(encoding._encode_single_piece(text[run.start() : stop]))
+        at = stop
+    return n + len(encoding.encode_ordinary(text[at:]))
+
+
 def _lengths(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.RecordBatch]:
-    encode = _encoding(ranks.value).encode_ordinary
+    encoding = _encoding(ranks.value)
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(encode(t)) if t else 0 for t in batch.column(1).to_pylist()], pa.int64())],
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([count_tokens(encoding, t) if t else 0 for t in batch.column(1).to_pylist()], pa.int64())],
                                          names=["id", "n_tokens"])
 
 

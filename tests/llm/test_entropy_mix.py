@@ -57,3 +57,15 @@ def test_multipliers_solve_the_dual(spark):
     for r in em._tilt(Work(spark, "t"), sizes, targets, 1.5, 2.0, em.STEPS, 1e-9).collect():
         words = sum(k * n * min(2.0, 1.5 * math.exp(min(50, r.m * k / r["mean"]))) for s, k, n in rows if s == r.source)
         assert words == pytest.approx(wanted[r.source], rel=1e-6)
+
+
+def test_repeated_rows_meet_the_target(spark):
+    rows = [(i, "five words are in here", f"s{i}", 0) for i in range(3) for _ in range(300)] + [(None, "two words", None, 0)] * 200
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, size int")
+    first = em.mix(df).collect()
+    taken, target = {}, {}
+    for r in first:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+        target[r.doc_id] = r.target
+    assert all(abs(taken[k] - target[k]) <= 0.01 * target[k] + 5 for k in taken) and all(r.taken <= 2 * r.size for r in first)
+    assert sorted(map(str, em.mix(df).collect())) == sorted(map(str, first))

@@ -62,3 +62,11 @@ def test_repositories_decide_within_one_owner(spark):
     assert {show(i) for i in range(40)} == {("", 0, 1, 0, 40)}
     assert {show(100 + i) for i in range(3)} == {("generic:5:31", 1, 0, 0, 3)}
     assert show(200) == show(201) == ("", 0, 0, 1, 2) and show(202) == ("", 0, 0, 0, 0)
+
+
+def test_many_spans_keep_their_places(spark):
+    text = "\n".join(f"{hashlib.sha256(str(i).encode()).hexdigest()}  file{i}" for i in range(2000))
+    want = [f"hex:{m.start()}:{m.end()}" for m in re.finditer(r"[0-9a-f]+", text) if m.end() - m.start() >= 32]
+    df = spark.createDataFrame([(1, text, "a")], "doc_id bigint, text string, source string")
+    row = ss.scan(df).first()
+    assert row.n_hex == 2000 and row.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()

@@ -37,3 +37,12 @@ def test_histogram_answers_every_limit(spark, n):
             assert r.tokens_truncated - (later[0] - limit) * r.docs_ge == sum(min(x, limit) for x in lengths)
     for k, r in rows.items():
         assert r.docs == lengths.count(k) and r.share_le == pytest.approx(sum(x <= k for x in lengths) / n)
+
+
+def test_long_white_space_is_counted_exactly():
+    with open(ranks_path(), "rb") as f:
+        e = th._encoding(f.read())
+    for run in (" " * 9000, "\n" * 9000, " \t\r\n\u2003" * 2000, "\n" * 5000 + " " * 5000):
+        for t in (run, "a" + run, run + "a", "a" + run + ".", "one two" + run + "three " + run + "\u00e9", run + "\x1c" + run):
+            assert th.count_tokens(e, t) == len(e.encode_ordinary(t))
+    assert th.count_tokens(e, "x" + " " * 2_000_000 + "y") > 1

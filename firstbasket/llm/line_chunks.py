@@ -1,21 +1,25 @@
 """Line deduplication on content-defined chunks of lines.
 
-Every line that isn't blank opens a chunk and closes one: the fewest lines from it on, or up to it,
-that hold ``min_words`` words and are several, or the line alone if it holds ``long_words``. What a
-chunk holds depends on these lines only, so a passage has the same chunks in whatever text it stands,
-and a repeated passage of several lines and ``min_words`` words is covered by its chunks from its
-first line to its last, however short the lines are. Chunks that occur again anywhere (in another text,
-or further on in the same one) are removed but for their first occurrence; equality is that of the
-bytes, blank lines between included. Where chunks overlap, a line that goes may be the first occurrence
-of another chunk; an equal line stays at an earlier place.
+A rolling hash (a cyclic polynomial over the hashes of lines that aren't blank) moves over the text.
+Its window at a line is the fewest lines from it on that are several and hold ``min_words`` words, or
+the line alone if it holds ``long_words``. Of the windows that start within a window, the one with the
+smallest rolling hash is a boundary and opens a chunk; a long line always is one. So each stretch of
+two windows has a boundary, and which line it is depends on the stretch only: an insertion before or
+after it moves nothing. A chunk runs from its boundary to the end of the boundary's window.
+
+Chunks that occur again anywhere (in another text, or further on in the same one) are removed but for
+their first occurrence; equality is that of the bytes, blank lines between included. Neighbouring
+repeated chunks whose first occurrences are neighbours too are joined into runs, and a run whose bytes
+agree grows over the lines before and after it while they agree as well, up to a long line, which has
+a chunk of its own. A repeated passage of three lines and 50 words thus goes whole, from its first
+line to its last. Every line that goes has an equal one at an earlier place.
 
 Only hashes and places are gathered at first: (hash, row, first line, last line). Those whose hash
-occurs once drop out in a hash join whose built side is the repeated hashes. Neighbouring repeated
-chunks whose first occurrences are neighbours too are joined into runs; the bytes of a run and of its
-first occurrence are then fetched, once each, and compared. The joins by hash and by first occurrence
-read written tables on both sides, so adaptive execution can split a very common chunk. Texts meet
-their runs and their removals in merge joins whatever the sizes, so disk grows as the input does. SQL
-functions only.
+occurs once drop out in a join with the repeated hashes. The bytes of a run, of its first occurrence
+and of the few short lines about both are then fetched, once each, and compared. The joins by hash and
+by first occurrence read written tables on both sides, so adaptive execution can split a very common
+chunk. Texts meet their runs and their removals in merge joins whatever the sizes, so disk grows as
+the input does. SQL functions only.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from .work import Work, free_names, named
 
 LONG_WORDS = 20
 MIN_WORDS = 15
+BEFORE, AFTER = 32, 64  # lines that a run can grow by: more than lie between a passage's end and its next chunk, with a blank line each
 
 
 def _words(line: Column) -> Column:
@@ -41,41 +46,61 @@ def _let(value: Column, body) -> Column:
 
 
 def _chunks(text: Column, long_words: int, min_words: int) -> Column:
-    """array<struct<hash, first, last>>: the chunks that a text's lines open and close."""
+    """array<struct<hash, first, last>>: a text's content-defined chunks."""
     alone = max(min_words, long_words)
 
     # ``at``: for each word (at most min_words a line) the line it stands in, among those that aren't blank.
-    def spans(solid: Column, at: Column) -> Column:
+    def windows(solid: Column, at: Column) -> Column:
         def opened(k: Column, p: Column) -> Column:
             last = F.get(at, p + (min_words - 1))
-            return F.when(F.get(at, p - 1).eqNullSafe(k), None).when(F.get(solid, k).getField("words") >= alone, _pair(k, k)).when(
-                last.isNotNull() & (k + 1 < F.size(solid)), _pair(k, F.greatest(last, k + 1)))
+            return F.when(F.get(at, p - 1).eqNullSafe(k), None).when(F.get(solid, k).getField("words") >= alone, k).when(
+                last.isNotNull() & (k + 1 < F.size(solid)), F.greatest(last, k + 1))
 
-        def closed(k: Column, p: Column) -> Column:
-            first = F.get(at, p - (min_words - 1))
-            return F.when(F.get(at, p + 1).eqNullSafe(k) | (F.get(solid, k).getField("words") >= alone), None).when(
-                first.isNotNull() & (k > 0), _pair(F.least(first, k - 1), k))
+        # The last line of each line's window. Only lines at the text's end have none.
+        return F.filter(F.transform(at, opened), lambda x: x.isNotNull())
 
-        both = F.concat(F.filter(F.transform(at, opened), lambda x: x.isNotNull()), F.filter(F.transform(at, closed), lambda x: x.isNotNull()))
-        return F.array_distinct(both)
+    def rolled(solid: Column, ends: Column) -> Column:
+        return F.transform(ends, lambda last, k: F.aggregate(F.slice(solid, k + 1, last - k + 1), F.lit(0).cast("bigint"), lambda r, x: (
+            F.shiftleft(r, 1).bitwiseOR(F.shiftrightunsigned(r, 63)).bitwiseXOR(x.getField("h")))))
 
-    def chunks(marks: Column, hashes: Column, solid: Column) -> Column:
-        at = F.flatten(F.transform(solid, lambda x, k: F.array_repeat(k, F.least(x.getField("words"), F.lit(min_words)))))
+    def boundaries(rolls: Column, ends: Column) -> Column:
+        return F.array_distinct(F.transform(ends, lambda last, k: _let(F.slice(rolls, k + 1, last - k + 1), lambda near: (
+            k + F.array_position(near, F.array_min(near)) - 1))))
 
-        def chunk(pair: Column) -> Column:
-            first = F.get(solid, F.shiftright(pair, 31).cast("int")).getField("i")
-            last = F.get(solid, pair.bitwiseAND(F.lit(2**31 - 1)).cast("int")).getField("i")
+    def chunks(hashes: Column, solid: Column, ends: Column) -> Column:
+        def chunk(k: Column) -> Column:
+            first = F.get(solid, k.cast("int")).getField("i")
+            last = F.get(solid, F.get(ends, k.cast("int"))).getField("i")
             return F.struct(F.xxhash64(F.slice(hashes, first + 1, last - first + 1)).alias("hash"), first.alias("first"), last.alias("last"))
 
-        return _let(at, lambda a: F.transform(spans(solid, a), chunk))
+        return _let(rolled(solid, ends), lambda rolls: F.transform(boundaries(rolls, ends), chunk))
+
+    def placed(hashes: Column, solid: Column) -> Column:
+        at = F.flatten(F.transform(solid, lambda x, k: F.array_repeat(k, F.least(x.getField("words"), F.lit(min_words)))))
+        return _let(_let(at, lambda a: windows(solid, a)), lambda ends: chunks(hashes, solid, ends))
 
     marks = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), _words(x).alias("words")))
     return _let(marks, lambda m: _let(F.transform(m, lambda x: x.getField("h")),
-                                      lambda h: _let(F.filter(m, lambda x: x.getField("words") > 0), lambda solid: chunks(m, h, solid))))
+                                      lambda h: _let(F.filter(m, lambda x: x.getField("words") > 0), lambda solid: placed(h, solid))))
+
+
+def _short(lines: Column, alone: int) -> Column:
+    """``lines`` up to the first of ``alone`` words or more."""
+    end = F.array_position(F.transform(lines, lambda x: _words(x) >= alone), True).cast("int")
+    return F.when(end > 0, F.slice(lines, 1, F.greatest(end - 1, F.lit(0)))).otherwise(lines)
+
+
+def _about(lines: Column, first: Column, last: Column, alone: int) -> list[Column]:
+    """The short lines before ``first`` (nearest first) and after ``last``."""
+    n = F.least(first, F.lit(BEFORE))
+    return [_short(F.reverse(F.slice(lines, first - n + 1, n)), alone).alias("before"), _short(F.slice(lines, last + 2, AFTER), alone).alias("after")]
 
 
-def _pair(first: Column, last: Column) -> Column:
-    return F.shiftleft(first.cast("bigint"), 31) + last.cast("bigint")
+def _grown(ours: str, theirs: str) -> Column:
+    """How many leading lines agree, the last of them not blank."""
+    differs = F.array_position(F.zip_with(ours, theirs, lambda x, y: ~x.eqNullSafe(y)), True).cast("int")
+    same = F.when(differs > 0, differs - 1).otherwise(F.size(ours))
+    return F.coalesce(F.array_max(F.transform(F.slice(F.col(ours), 1, same), lambda x, i: F.when(_words(x) > 0, i + 1).otherwise(0))), F.lit(0))
 
 
 def _removals(work: Work, docs: DataFrame, long_words: int, min_words: int) -> DataFrame:
@@ -83,7 +108,7 @@ def _removals(work: Work, docs: DataFrame, long_words: int, min_words: int) -> D
     text = F.coalesce("text_", F.lit(""))
     placed = work.save(docs.select("row", F.col("id_").alias("id"), F.inline(_chunks(text, long_words, min_words))), "placed")
     repeated = work.save(placed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "repeated")
-    hits = work.save(placed.join(repeated.hint("shuffle_hash"), "hash"), "hits")
+    hits = work.save(placed.join(repeated, "hash"), "hits")
     order = F.struct(F.col("id").isNull().alias("null"), "id", "row", "first", "last")
     kept = work.save(hits.groupBy("hash").agg(F.min(order).alias("keep")), "kept")
     again = (hits.join(kept, "hash").filter(order != F.col("keep"))
@@ -106,10 +131,12 @@ def _removals(work: Work, docs: DataFrame, long_words: int, min_words: int) -> D
     wanted = wanted.groupBy(F.col("row").alias("row_"), "id").agg(F.collect_list(F.struct(*ask)).alias("asked"))
     got = docs.join(wanted.hint("merge"), (F.col("row") == F.col("row_")) & F.col("id_").eqNullSafe(F.col("id"))).select("row", "id", F.inline(_let(
         F.split(text, "\n", -1), lambda lines: F.transform("asked", lambda r: F.struct(*(r.getField(c).alias(c) for c in ask), F.array_join(
-            F.slice(lines, r.getField("first") + 1, r.getField("last") - r.getField("first") + 1), "\n").alias("body"))))))
+            F.slice(lines, r.getField("first") + 1, r.getField("last") - r.getField("first") + 1), "\n").alias("body"),
+            *_about(lines, r.getField("first"), r.getField("last"), max(min_words, long_words)))))))
     got = work.save(got, "bodies")
     bodies = got.filter("kept_row is null").groupBy(F.col("row").alias("row_"), F.col("id").alias("id_"), F.col("first").alias("first_"),
-                                                    F.col("last").alias("last_")).agg(F.first("body").alias("kept_body"))
+                                                    F.col("last").alias("last_")).agg(F.first(F.struct("body", "before", "after")).alias("kept"))
+    bodies = bodies.select("row_", "id_", "first_", "last_", *(F.col(f"kept.{c}").alias(f"kept_{c}") for c in ("body", "before", "after")))
     bodies = work.save(bodies, "first_bodies")
     same = got.filter("kept_row is not null").join(bodies, (F.col("kept_row") == F.col("row_")) & F.col("kept_id").eqNullSafe(F.col("id_"))
                                                    & (F.col("kept_first") == F.col("first_")) & (F.col("kept_last") == F.col("last_")))
@@ -117,7 +144,7 @@ def _removals(work: Work, docs: DataFrame, long_words: int, min_words: int) -> D
     def part(body: str, p: Column) -> Column:
         return F.slice(F.split(body, "\n", -1), p.getField("first") - F.col("first") + 1, p.getField("last") - p.getField("first") + 1)
 
-    whole = F.array(F.struct("first", "last"))
+    whole = F.array(F.struct((F.col("first") - _grown("before", "kept_before")).alias("first"), (F.col("last") + _grown("after", "kept_after")).alias("last")))
     return work.save(same.select("row", "id", F.inline(F.when(F.col("body") == F.col("kept_body"), whole).otherwise(
         F.filter("parts", lambda p: part("body", p) == part("kept_body", p))))), "removals")
 

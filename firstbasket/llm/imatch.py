@@ -2,13 +2,12 @@
 
 The lexicon is the terms whose document frequency lies in a band: rare enough to tell texts apart,
 common enough not to be typing errors. As the lower end is a share of all documents, the lexicon has
-at most (mean distinct terms a document) / ``low`` terms however large the corpus is; that bound is
-what makes it fit a broadcast. A fingerprint is a list of hashes, one for each of ``SUBSETS`` random
-subsets of the lexicon, over the distinct terms of the text that are in the subset. The hash combines
-the terms' hashes by xor, which gives equal sets equal hashes just as sorting the terms and hashing
-the list does, and lets a fixed-size aggregate make all of them in one pass. A subset
-keeps a term with chance 1/2, 1/4, ... 1/256, so there is one that fits a short text and one that
-fits a long one. The likeness of two fingerprints is the share of subsets with equal hashes among
+at most (mean distinct terms a document) / ``low`` terms however large the corpus is; it is broadcast
+if it has at most ``LEXICON_BROADCAST_ROWS``. A fingerprint is a list of hashes, one for each of ``SUBSETS`` random
+subsets of the lexicon: the distinct terms of the text that are in the subset are sorted and the list
+is hashed. A subset keeps a term with chance 1/2, 1/4, ... 1/256, so there is one that fits a short
+text and one that fits a long one; those of a draw lie within each other, so the sorted list is sifted
+once for all of them. The likeness of two fingerprints is the share of subsets with equal hashes among
 those in which either has a term; equal texts have equal fingerprints, hence likeness 1.
 
 Terms travel as 64-bit hashes. SQL functions only.
@@ -20,12 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rank import with_global_position
+from ..sources.dimensions import bounded_broadcast
 from .work import Work, named
 
 LOW, HIGH = 0.0005, 0.2  # shares of all documents that hold a term of the lexicon
 RATES = 8  # subsets keep a term with chance 1/2 ... 1/2**RATES
 PER_RATE = 3
 SUBSETS = RATES * PER_RATE
+LEXICON_BROADCAST_ROWS = 2_000_000  # two numbers each; a larger lexicon meets the terms in a shuffle
 
 
 def terms(text: Column) -> Column:
@@ -47,6 +48,26 @@ def lexicon(texts: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame
     return freq.filter((F.col("n") >= max(2.0, low * n)) & (F.col("n") <= max(2.0, high * n))).select("term", bits.alias("subsets"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once however often it occurs there."""
+    return F.transform(F.array(value), body)[0]
+
+
+def list_hashes(found: Column) -> Column:
+    """The fingerprint of the distinct lexicon terms ``found`` (array<struct<h, subsets>>): for each
+    subset the hash of its sorted terms, null if it has none."""
+    def draw(terms_: Column, k: int, rates: int) -> Column:
+        own = F.filter(terms_, lambda x: x["subsets"].bitwiseAND(F.lit(1 << k).cast("bigint")) != 0)
+
+        def hashed(kept: Column) -> Column:
+            one = F.array(F.when(F.size(kept) > 0, F.xxhash64(F.transform(kept, lambda x: x["h"]))))
+            return one if rates == 1 else F.concat(one, draw(kept, k + 1, rates - 1))
+
+        return _let(own, hashed)
+
+    return _let(F.array_sort(found), lambda terms_: F.concat(*(draw(terms_, g * RATES, RATES) for g in range(PER_RATE))))
+
+
 def _shown(fp: Column) -> Column:
     shown = F.array_join(F.transform(fp, lambda x: F.coalesce(F.lower(F.lpad(F.hex(x), 16, "0")), F.lit("-"))), ".")
     return F.when(F.exists(fp, lambda x: x.isNotNull()), shown).otherwise(F.lit(""))
@@ -100,12 +121,15 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     start = F.array(*[F.struct(F.lit(k).alias("kind"), none.alias("term")) for k in (0, 1)])  # a row for a text without terms
     spread = both.select("key", "sha", F.explode(F.concat(
         start, F.transform(terms(F.col("text")), entry(0)), F.transform(terms(F.col("edited")), entry(1)))).alias("x"))
-    kept = (spread.select("key", "sha", "x.kind", "x.term").join(F.broadcast(lex.withColumnRenamed("term", "lex_term")), F.col("term") == F.col("lex_term"), "left")
-            .filter("term is null or subsets is not null").select("key", "sha", "kind", "subsets", F.xxhash64("term").alias("h")))
-    digest = lambda k: F.bit_xor(F.when(F.col("subsets").bitwiseAND(F.lit(1 << k).cast("bigint")) != 0, F.col("h")))
-    digests = [digest(k).alias(f"d{k}") for k in range(SUBSETS)]
-    made = work.save(kept.groupBy("key", "sha", "kind").agg(*digests)
-                     .select("key", F.col("sha").alias("edited_sha256"), "kind", F.array(*[f"d{k}" for k in range(SUBSETS)]).alias("fp")), "fingerprints")
+    # A row without a term has a key that no other has, so that a join by shuffle deals them out.
+    meets = F.when(F.col("term").isNull(), F.struct(F.lit(None).cast("bigint").alias("term"), F.xxhash64("key").alias("alone"))).otherwise(
+        F.struct("term", F.lit(0).cast("bigint").alias("alone")))
+    known = bounded_broadcast(lex.select(F.struct("term", F.lit(0).cast("bigint").alias("alone")).alias("lex_key"), "subsets"), LEXICON_BROADCAST_ROWS)
+    kept = (spread.select("key", "sha", "x.kind", "x.term").join(known, meets == F.col("lex_key"), "left")
+            .filter("term is null or subsets is not null").select("key", "sha", "kind", F.when(F.col("term").isNotNull(), F.struct(
+                F.xxhash64("term").alias("h"), "subsets")).alias("found")))
+    made = work.save(kept.groupBy("key", "sha", "kind").agg(F.collect_list("found").alias("found"))  # a text's distinct terms: it holds them itself
+                     .select("key", F.col("sha").alias("edited_sha256"), "kind", list_hashes(F.col("found")).alias("fp")), "fingerprints")
     own, new = made.filter("kind = 0").select("key", "fp"), made.filter("kind = 1").select(F.col("key").alias("new_key"), "edited_sha256", F.col("fp").alias("edited_fp"))
     made = own.join(new, F.col("key") == F.col("new_key")).drop("new_key")
     after = own.select(F.col("key").alias("after_key"), F.col("fp").alias("next_fp"))

@@ -3,10 +3,15 @@ import random
 import re
 from collections import Counter
 
+import pytest
+import xxhash
+
 from firstbasket.llm import imatch
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("broadcast_rows", [imatch.LEXICON_BROADCAST_ROWS, 10])
+def test_equals_brute_force(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(imatch, "LEXICON_BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(4)
     vocabulary = [f"Term{i}é" for i in range(80)]
     docs = [(i, " ".join(rng.choices(vocabulary, k=rng.choice((3, 30, 90))))) for i in range(50)]
@@ -20,15 +25,18 @@ def test_equals_brute_force(spark):
         "w", "xxhash64(xxhash64(w)) as h", *(f"xxhash64(xxhash64(w), {g}) as g{g}" for g in range(imatch.PER_RATE))).collect()}
     hashed = {r.t: r.h for r in spark.createDataFrame({(t or "",) for _, t in docs}, "t string").selectExpr("t", "xxhash64(t) as h").collect()}
 
+    def list_hash(hs):  # of a list of longs: each is hashed with the hash so far as its seed
+        x = 42
+        for h in sorted(hs):
+            x = xxhash.xxh64(h.to_bytes(8, "little", signed=True), seed=x).intdigest()
+        return x
+
     def fingerprint(t):
         out = []
         for g in range(imatch.PER_RATE):
             for r in range(imatch.RATES):
                 own = [bits[w].h for w in terms(t) & band if bits[w][f"g{g}"] % (1 << r + 1) == 0]
-                x = 0
-                for h in own:
-                    x ^= h
-                out.append(x & (1 << 64) - 1 if own else None)
+                out.append(list_hash(own) if own else None)
         return out
     show = lambda f: ".".join("-" if x is None else f"{x:016x}" for x in f) if any(x is not None for x in f) else ""
 

@@ -3,9 +3,9 @@ repeat-purchase label.
 
 Design (scale): the first order is an aggregate (``min`` over a struct ordered by purchase time
 then order id) instead of a ``row_number`` window, so it gets map-side partial aggregation and a
-person holding a third of all orders never lands in one task. The label is an equi-join of the
-spine with the delivered orders on the person plus a residual time-range predicate; AQE's skew
-join splits a hot person's partition, and the aggregate that follows is again partial.
+person holding a third of all orders never lands in one task. For the label, orders are reduced to
+their earliest and latest purchase per (person, time bucket) before they meet the spine, again by a
+partial aggregate; the bucket is as long as the horizon, so a person meets at most two of them.
 """
 
 from __future__ import annotations
@@ -68,8 +68,8 @@ def first_order_spine(delivered: DataFrame, cfg: Config) -> DataFrame:
                            F.col("customer_state"), F.col(DELIVERED), F.col(ESTIMATED)))
     return (delivered.where(F.col(PURCHASE).isNotNull()
                             & (F.col(PURCHASE) <= ts_literal(cfg.first_order_cutoff)))
-            .groupBy(PERSON).agg(first.alias("f"), F.count(F.lit(1)).alias("order_count"))
-            .select(PERSON, "order_count",
+            .groupBy(PERSON).agg(first.alias("f"))
+            .select(PERSON,
                     F.col("f.customer_id").alias("customer_id"),
                     F.col("f.order_id").alias("first_order_id"),
                     F.col(f"f.{PURCHASE}").alias("first_order_timestamp"),
@@ -78,38 +78,31 @@ def first_order_spine(delivered: DataFrame, cfg: Config) -> DataFrame:
                     F.col(f"f.{ESTIMATED}").alias(ESTIMATED)))
 
 
-def _spine_anchor(spine: DataFrame) -> DataFrame:
-    return spine.select(PERSON, "first_order_id", "first_order_timestamp", "order_count").alias("s")
-
-
-def _order_times(delivered: DataFrame) -> DataFrame:
-    return delivered.select(PERSON, "order_id", PURCHASE).alias("o")
-
-
-def _salted_join(o: DataFrame, s: DataFrame, cfg: Config, with_range: bool) -> DataFrame:
+def _salted_join(orders: DataFrame, spine: DataFrame, cfg: Config) -> DataFrame:
     """Orders joined to their person's spine row, with hot persons salted.
 
-    A person with more than ``cfg.hot_key_rows`` orders gets ``salt_n = ceil(orders / hot_key_rows)``
-    salts: their orders are spread by a hash of the order id, and their spine row is replicated once
-    per salt, so the join on (person, salt) runs in ``salt_n`` tasks and every order still meets
-    its spine row exactly once. There are at most ``orders / hot_key_rows`` hot persons, which
-    bounds the broadcast of the hot list. (AQE's skew join cannot split this join by itself: the
-    spine side is an aggregate's output, not a plain shuffle stage.)
+    A person with more than ``cfg.hot_key_rows`` of the orders that the join reads gets ``salt_n =
+    ceil(orders / hot_key_rows)`` salts: their orders are spread by a hash of the order id, and their
+    spine row is replicated once per salt, so the join on (person, salt) runs in ``salt_n`` tasks and
+    every order still meets its spine row exactly once. There are at most ``orders / hot_key_rows`` hot
+    persons, which bounds the broadcast of the hot list. (AQE's skew join cannot split this join by
+    itself: the spine side is an aggregate's output, not a plain shuffle stage.)
     """
-    salt_n = F.greatest(F.lit(1), F.ceil(F.col("s.order_count") / F.lit(int(cfg.hot_key_rows)))).cast("int")
-    anchor = s.withColumn("salt_n", salt_n)
-    hot = anchor.where(F.col("salt_n") > 1).select(F.col(PERSON).alias("hot_person"), "salt_n")
-    orders = (o.join(F.broadcast(hot), F.col(f"o.{PERSON}") == F.col("hot_person"), "left")
-              .withColumn("o_salt", F.when(F.col("salt_n").isNull(), F.lit(0))
-                          .otherwise(F.pmod(F.xxhash64(F.col("o.order_id")), F.col("salt_n"))).cast("int"))
-              .select(F.col(f"o.{PERSON}").alias("o_person"), F.col("o.order_id").alias("o_order_id"),
-                      F.col(f"o.{PURCHASE}").alias("o_ts"), "o_salt"))
-    spine = (anchor.withColumn("s_salt", F.explode(F.sequence(F.lit(0), F.col("salt_n") - 1)))
-             .select(F.col(PERSON).alias("s_person"), "first_order_id", "first_order_timestamp", "s_salt"))
-    cond = (F.col("o_person") == F.col("s_person")) & (F.col("o_salt") == F.col("s_salt"))
-    if with_range:
-        cond = cond & _pair_is_reorder(cfg)
-    return orders.join(spine, cond, "inner")
+    hot = (orders.groupBy(F.col(PERSON).alias("hot_person")).agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > int(cfg.hot_key_rows))
+           .select("hot_person", F.ceil(F.col("n") / F.lit(int(cfg.hot_key_rows))).cast("int").alias("salt_n")))
+    salts = F.coalesce("salt_n", F.lit(1))
+
+    def with_salts(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot), F.col(PERSON) == F.col("hot_person"), "left")
+
+    o = with_salts(orders).select(
+        F.col(PERSON).alias("o_person"), F.col("order_id").alias("o_order_id"), F.col(PURCHASE).alias("o_ts"),
+        F.pmod(F.xxhash64("order_id"), salts).cast("int").alias("o_salt"))
+    s = with_salts(spine).select(
+        F.col(PERSON).alias("s_person"), "first_order_id", "first_order_timestamp",
+        F.explode(F.sequence(F.lit(0), salts - 1)).alias("s_salt"))
+    return o.join(s, (F.col("o_person") == F.col("s_person")) & (F.col("o_salt") == F.col("s_salt")), "inner")
 
 
 def _pair_is_reorder(cfg: Config):
@@ -121,23 +114,40 @@ def _pair_is_reorder(cfg: Config):
 def reorder_events(spine: DataFrame, delivered: DataFrame, cfg: Config) -> DataFrame:
     """Every delivered order of every spine person, flagged 1 when it is a repeat purchase inside
     the horizon."""
-    pairs = _salted_join(_order_times(delivered), _spine_anchor(spine), cfg, with_range=False)
+    pairs = _salted_join(delivered, spine, cfg)
     return pairs.select(F.col("s_person").alias(PERSON), "first_order_id", "first_order_timestamp",
                         F.col("o_order_id").alias("order_id"), flag(_pair_is_reorder(cfg)).alias("reordered_180d"))
 
 
+def _bucket(ts: str, cfg: Config):
+    """Number of the calendar span, as long as the horizon, that ``ts`` lies in."""
+    return F.floor(F.unix_date(F.to_date(ts)) / F.lit(int(cfg.horizon_days)))
+
+
 def reorder_label(spine: DataFrame, delivered: DataFrame, cfg: Config) -> DataFrame:
     """The spine plus ``reordered_180d`` (1 if any repeat purchase falls inside the horizon).
 
-    Only matching orders leave the join (the range predicate is part of the join condition), and
-    they are reduced to one row per person by a partial aggregate before the left join back to
-    the spine.
+    A horizon that begins in a bucket ends in the next one. It holds all later purchases of its own
+    bucket, so one exists if the bucket's latest is later; and it holds one of the next bucket if
+    that one's earliest is not past its end. The two extremes of each (person, bucket) therefore settle
+    the label, and they come from a partial aggregate: orders of a hot person are reduced in the map
+    tasks wherever they lie in time, and both sides of the join hold a key once. A purchase later than
+    the first order is another order, as order ids are unique.
     """
+    if cfg.horizon_days < 1:
+        raise ValueError("the horizon is a whole number of days, one or more")
     # A repeat purchase falls at most the horizon after a first order that is itself on or before
     # the cut-off, so later purchases cannot match (a pushed filter on the scan).
     latest = ts_literal(cfg.first_order_cutoff + timedelta(days=int(cfg.horizon_days)))
-    o = _order_times(delivered.where(F.col(PURCHASE) <= latest))
-    hits = (_salted_join(o, _spine_anchor(spine), cfg, with_range=True)
+    seen = (delivered.where(F.col(PURCHASE) <= latest)
+            .groupBy(F.col(PERSON).alias("o_person"), _bucket(PURCHASE, cfg).alias("o_bucket"))
+            .agg(F.min(PURCHASE).alias("earliest"), F.max(PURCHASE).alias("latest")))
+    own = _bucket("first_order_timestamp", cfg)
+    reach = spine.select(F.col(PERSON).alias("s_person"), "first_order_timestamp",
+                         F.explode(F.array(own, own + 1)).alias("s_bucket"))
+    inside = ((F.col("latest") > F.col("first_order_timestamp"))
+              & (F.col("earliest") <= F.col("first_order_timestamp") + horizon(cfg)))
+    hits = (reach.join(seen, (F.col("s_person") == F.col("o_person")) & (F.col("s_bucket") == F.col("o_bucket")) & inside)
             .groupBy(F.col("s_person").alias(PERSON)).agg(F.lit(1).alias("reordered_180d")))
     return (spine.join(hits, PERSON, "left")
             .withColumn("reordered_180d", F.coalesce(F.col("reordered_180d"), F.lit(0)).cast("int")))

@@ -3,7 +3,7 @@ exact quantiles, value counts and shares, type families, equal-width histograms
 correlation with the label.
 
 Wide-to-long reshaping uses ``explode(array(struct(...)))`` so one scan serves every column.
-Exact quantiles use distributed positions (``rank.with_global_position``) instead of the
+Exact quantiles use running counts over the distinct values (``metrics.running_totals``) instead of the
 ``percentile`` aggregate, whose buffer holds every distinct value of a column in one task.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from .rank import with_global_position
+from .metrics import running_totals
 
 ROUND = 6
 
@@ -88,25 +88,27 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """(column_name, prob, value): linear interpolation between the order statistics at
     ``floor(h)`` and ``ceil(h)``, ``h = (n - 1) * prob``, over non-null values.
 
-    Values are placed by distributed position; per-column counts and the wanted positions are
-    at most ``len(columns) * len(probs) * 2`` rows, so they are broadcast.
+    Rows are counted per (column, value) first, partially on the map side, so a value that half of
+    the rows share is one row a task; running counts over the distinct values then find the wanted
+    positions. Per-column counts and the wanted positions are at most ``len(columns) *
+    len(probs) * 2`` rows, so they are broadcast. -0.0 counts as 0.0.
     """
     long = _long(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    placed = with_global_position(long, [F.col("column_name"), F.col("value")], pos_col="pos")
-    stats = placed.groupBy("column_name").agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("n"))
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
+    placed = running_totals(counts, [F.col("column_name"), F.col("value")], ["rows"])
+    upto = F.col("cum_rows")
+    stats = placed.groupBy("column_name").agg(F.min(upto - F.col("rows")).alias("start"), F.sum("rows").alias("n"))
     wanted = (stats.withColumn("prob", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
               .withColumn("h", (F.col("n") - 1).cast("double") * F.col("prob"))
-              .withColumn("lo", F.col("start") + F.floor("h").cast("bigint"))
-              .withColumn("hi", F.col("start") + F.ceil("h").cast("bigint"))
-              .withColumn("frac", F.col("h") - F.floor("h")))
-    picks = wanted.select("column_name", "prob", "frac", F.explode(F.array("lo", "hi")).alias("pos")).distinct()
-    found = placed.join(F.broadcast(picks.select("column_name", "pos").distinct()), ["column_name", "pos"], "inner")
-    lo = found.select("column_name", F.col("pos").alias("lo"), F.col("value").alias("v_lo"))
-    hi = found.select("column_name", F.col("pos").alias("hi"), F.col("value").alias("v_hi"))
-    out = (wanted.join(lo, ["column_name", "lo"], "inner").join(hi, ["column_name", "hi"], "inner")
-           .select("column_name", "prob",
-                   (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value")))
-    return out
+              .withColumn("pos", F.explode(F.array(F.floor("h").cast("bigint"), F.ceil("h").cast("bigint"))))
+              .select("column_name", "prob", (F.col("start") + F.col("pos")).alias("pos"),
+                      (F.col("h") - F.floor("h")).alias("frac")).distinct())
+    found = (placed.withColumnRenamed("column_name", "_c")
+             .join(F.broadcast(wanted), (F.col("_c") == F.col("column_name")) & (F.col("pos") < upto)
+                   & (F.col("pos") >= upto - F.col("rows")), "inner"))
+    lo, hi = F.min_by("value", "pos"), F.max_by("value", "pos")
+    return found.groupBy("column_name", "prob", "frac").agg(lo.alias("lo"), hi.alias("hi")).select(
+        "column_name", "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))
 
 
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

@@ -16,12 +16,18 @@ lineage, so a lost executor re-reads the files instead of re-running the shuffle
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from ..session import checkpoint_dir
+from ..sources.dimensions import bounded_broadcast
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above bit 33, row index below
 
@@ -56,18 +62,84 @@ def with_global_position(df: DataFrame, order: Sequence[Column | str], pos_col:
     return out.select(*keep)
 
 
+def _changes(batch: pa.RecordBatch, names: Sequence[str], last: list | None) -> np.ndarray:
+    """For each row of a sorted batch: whether it differs from the row before (``last``: the row before
+    the batch) in any of ``names``. NULL equals NULL and NaN equals NaN, as in grouping."""
+    out = np.zeros(batch.num_rows, bool)
+    for i, name in enumerate(names):
+        col = batch.column(batch.schema.get_field_index(name))
+        head = pa.array([last[i] if last else None], col.type)
+        both = pa.concat_arrays([head, col])
+        x, y = both.slice(0, len(col)), both.slice(1)
+        same = pc.fill_null(pc.equal(x, y), False)
+        if pa.types.is_floating(col.type):
+            same = pc.or_(same, pc.and_(pc.fill_null(pc.is_nan(x), False), pc.fill_null(pc.is_nan(y), False)))
+        same = pc.or_(same, pc.and_(pc.is_null(x), pc.is_null(y)))
+        out |= ~same.to_numpy(zero_copy_only=False)
+    if last is None:
+        out[0] = True
+    return out
+
+
+def _number_runs(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Adds the partition, each row's number in its run of equal ``names`` within the partition (from 1),
+    whether that run is the partition's first, and the row's number in the partition."""
+    pid = TaskContext.get().partitionId()
+    last, run, runs, seen = None, 0, 0, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = _changes(batch, names, last)
+        at = np.arange(n)
+        start = np.maximum.accumulate(np.where(new, at, -1))
+        number = np.where(start >= 0, at - start + 1, run + at + 1)
+        first = runs + np.cumsum(new) == 1
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.full(n, pid, np.int32)), pa.array(number), pa.array(first), pa.array(seen + at)],
+            names=[*batch.schema.names, "_pid", "_run_pos", "_first_run", "_at"])
+        last = [batch.column(batch.schema.get_field_index(c))[n - 1].as_py() for c in names]
+        run, runs, seen = int(number[-1]), runs + int(new.sum()), seen + n
+
+
 def segment_row_number(df: DataFrame, segment: Sequence[str], order: Sequence[Column | str],
-                       out_col: str = "row_number", num_partitions: int | None = None) -> DataFrame:
+                       out_col: str = "row_number", num_partitions: int | None = None,
+                       size_col: str | None = None) -> DataFrame:
     """1-based row number inside each segment (``row_number() OVER (PARTITION BY segment ORDER BY
-    order)``) without gathering a segment in one task: global positions over (segment, order),
-    minus the position of the segment's first row (a partial aggregate joined back on the segment)."""
+    order)``) without gathering a segment in one task and without a join on the segment.
+
+    Rows are range-partitioned and sorted on (segment, order), so a segment is a run of rows that may
+    go on over several partitions. A pass over each partition numbers the rows of its runs (Arrow
+    batches, one row kept between them). Only a partition's first run can have begun earlier: its
+    carry is the sum of that segment's last runs in the partitions before. There is one carry a
+    partition, a proven bound, so the carries are broadcast. ``size_col`` optionally adds the
+    segment's row count, for few segments: their counts are broadcast behind a check of their number."""
     seg_cols = [F.col(c) for c in segment]
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    placed = with_global_position(df, seg_cols + order, pos_col="_gpos", num_partitions=num_partitions)
-    starts = placed.groupBy(*segment).agg(F.min("_gpos").alias("_start"))
-    return (placed.join(starts, list(segment), "inner")
-            .withColumn(out_col, F.col("_gpos") - F.col("_start") + 1)
-            .drop("_gpos", "_start"))
+    names = list(segment)
+    checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(_partitions(df, num_partitions), *seg_cols, *order)
+              .sortWithinPartitions(*seg_cols, *order).checkpoint(eager=True))
+    schema = StructType(ranged.schema.fields + [StructField("_pid", IntegerType()), StructField("_run_pos", LongType()),
+                                                StructField("_first_run", BooleanType()), StructField("_at", LongType())])
+    numbered = ranged.mapInArrow(lambda batches: _number_runs(batches, names), schema)
+    key = F.struct(*names)
+    ends = ranged.select(*names).mapInArrow(
+        lambda batches: _number_runs(batches, names), StructType([ranged.schema[c] for c in names] + schema.fields[-4:])
+    ).groupBy("_pid").agg(F.min_by(key, "_at").alias("head"), F.count_if("_first_run").alias("head_rows"),
+                          F.max_by(F.struct(key.alias("key"), "_run_pos", "_first_run"), "_at").alias("tail"))
+    runs = (ends.select("_pid", F.col("head").alias("key"), F.col("head_rows").alias("rows"), F.lit(True).alias("is_head"))
+            .unionByName(ends.where(~F.col("tail._first_run"))
+                         .select("_pid", "tail.key", F.col("tail._run_pos").alias("rows"), F.lit(False).alias("is_head"))))
+    before = Window.partitionBy("key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (runs.withColumn("_carry", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+             .where("is_head").select("_pid", "_carry"))
+    out = (numbered.join(F.broadcast(carry), "_pid", "inner")
+           .withColumn(out_col, F.col("_run_pos") + F.when(F.col("_first_run"), F.col("_carry")).otherwise(F.lit(0))))
+    if size_col is None:
+        return out.select(*df.columns, out_col)
+    sizes = bounded_broadcast(ranged.groupBy(key.alias("_segment")).agg(F.count(F.lit(1)).alias(size_col)))
+    return out.join(sizes, key.eqNullSafe(F.col("_segment")), "inner").select(*df.columns, out_col, size_col)
 
 
 def decile_of(pos: Column, n: Column, k: int = 10) -> Column:

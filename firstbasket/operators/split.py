@@ -2,9 +2,9 @@
 
 Rows are ordered inside each label by ``md5(key || ':' || seed)`` (then by key), which is the same
 in Spark and in SQL engines, so the split is reproducible anywhere. Positions inside a label
-come from distributed global positions over (label, hash, key) minus the label's first position
-(one row per label), never from a window partitioned by the label: 97 % of rows share
-one label, and such a window would run in one task.
+come from ``rank.segment_row_number``, never from a window partitioned by the label or a shuffle on
+it: 97 % of rows share one label, and either would run in one task. Label sizes are broadcast behind
+a check of their number. Rows with a NULL label are a group of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rank import with_global_position
+from .rank import segment_row_number
 
 
 def hash_order(key: str, seed: int) -> Column:
@@ -23,11 +23,8 @@ def hash_order(key: str, seed: int) -> Column:
 
 def rank_within_label(df: DataFrame, label: str, key: str, seed: int, out_col: str = "label_rank") -> DataFrame:
     """Adds ``out_col`` (0-based position inside the label) and ``label_rows``."""
-    placed = with_global_position(df, [F.col(label), hash_order(key, seed), F.col(key)], pos_col="_gpos")
-    starts = placed.groupBy(label).agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("label_rows"))
-    # One row per label value: small, but not bounded by construction, so AQE picks the join.
-    return (placed.join(starts, label, "inner")
-            .withColumn(out_col, F.col("_gpos") - F.col("_start")).drop("_gpos", "_start"))
+    ranked = segment_row_number(df, [label], [hash_order(key, seed), F.col(key)], out_col="_row", size_col="label_rows")
+    return ranked.withColumn(out_col, F.col("_row") - 1).drop("_row")
 
 
 def _ceil_share(n: Column, share: float) -> Column:

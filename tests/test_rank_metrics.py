@@ -43,6 +43,40 @@ def test_hot_key_is_split_across_range_partitions(spark):
     assert seg.where("g = 0").agg(F.max("row_number")).first()[0] == 2000
 
 
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_segments_over_many_partitions_nulls_and_nans(spark, parts):
+    rnd = random.Random(parts)
+    rows = [(i, None if i % 11 == 0 else 2.5 if i % 3 == 0 else float("nan") if i % 7 == 0 else float(rnd.randint(0, 400)),
+             rnd.choice([None, "a", "b"])) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, g double, h string").repartition(7)
+    seg = rank.segment_row_number(df, ["g", "h"], [F.col("id").desc()], num_partitions=parts, size_col="n")
+    plan = seg._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2 and "(_pid" in plan  # on the partition, and on the few sizes
+    got = {r["id"]: (r["row_number"], r["n"]) for r in seg.collect()}
+    groups = {}
+    for i, g, h in sorted(rows, key=lambda r: -r[0]):
+        groups.setdefault((str(g), h), []).append(i)
+    assert got == {i: (k + 1, len(ids)) for ids in groups.values() for k, i in enumerate(ids)}
+
+
+def test_segment_row_number_of_no_rows(spark):
+    df = spark.createDataFrame([], "id long, g int")
+    assert rank.segment_row_number(df, ["g"], ["id"], size_col="n").collect() == []
+
+
+def test_quantiles_of_columns_with_few_values(spark):
+    import numpy as np
+    rnd = random.Random(5)
+    rows = [(float(i % 3 == 0), rnd.choice([-0.0, 0.0, 1.5]), None if i % 5 else float(i), rnd.gauss(0, 1)) for i in range(999)]
+    df = spark.createDataFrame(rows, "flag double, few double, gaps double, spread double").repartition(9)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {(r["column_name"], r["prob"]): r["value"] for r in profile.exact_quantiles(df, df.columns, probs).collect()}
+    for at, c in enumerate(df.columns):
+        want = np.quantile([r[at] for r in rows if r[at] is not None], probs)
+        assert [got[c, p] for p in probs] == pytest.approx(list(want), rel=1e-12, abs=1e-12)
+    assert len(got) == len(probs) * 4
+
+
 def brute_auc(pairs):
     pos = [s for y, s in pairs if y == 1]
     neg = [s for y, s in pairs if y == 0]

@@ -145,6 +145,38 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
         "column_name", "count", "mean", "std", "min", *pcols, "max")
 
 
+EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def datetime_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
+    return [f.name for f in df.schema.fields if type_family(f.dataType) == "datetime" and f.name not in exclude]
+
+
+def as_micros(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Date and time columns as microseconds since 1970, for the numeric summaries (:func:`histogram`)."""
+    columns = list(columns or datetime_columns(df))
+    return df.select(*[F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, CAST(`{c}` AS TIMESTAMP_NTZ))").alias(c) for c in columns])
+
+
+def describe_datetime(df: DataFrame, columns: Sequence[str] | None = None,
+                      probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Per date or time column: count, distinct values, min, quartiles (to the microsecond) and max."""
+    micros = as_micros(df, columns)
+    columns = micros.columns
+
+    def back(c):
+        return F.timestamp_add("MICROSECOND", F.round(F.col(c)).cast("bigint"), F.expr(EPOCH)).alias(c)
+    values = _long(micros, columns).where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    extremes = values.groupBy("column_name").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
+                                                 F.min("value").alias("min"), F.max("value").alias("max"))
+    names = [f"p{int(round(x * 100))}" for x in probs]
+    wide = exact_quantiles(micros, columns, probs).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("prob") == F.lit(float(x)), F.col("value"))).alias(p) for x, p in zip(probs, names)])
+    return extremes.join(wide, "column_name").select("column_name", "count", "unique",
+                                                     *[back(c) for c in ["min", *names, "max"]])
+
+
 def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per string column: non-null count, distinct values, most frequent value (ties: smallest)
     and its frequency."""

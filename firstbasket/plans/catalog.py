@@ -205,6 +205,17 @@ def q_abt(spark, sf_dir):
     return _abt(spark, sf_dir)
 
 
+@register("abt_export")
+def q_abt_export(spark, sf_dir):
+    """The ordered export, written and read again, with each row's place over the files in order."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/exports/abt_{uuid.uuid4().hex}"
+    out = abt_plan.for_export(_base(spark, sf_dir).select(PERSON, "first_order_id", "reordered_180d"))
+    return files.with_file_position(files.materialize(out, path), "export_row")
+
+
 @register("bi_view")
 def q_bi_view(spark, sf_dir):
     return _bi(spark, sf_dir)
@@ -236,7 +247,8 @@ def q_dq_unique_key(spark, sf_dir):
 
 @register("dq_unique_keys")
 def q_dq_unique_keys(spark, sf_dir):
-    return quality.unique_key_report(_loaded_tables(spark, sf_dir), PRIMARY_KEYS)
+    report = quality.unique_key_report(_loaded_tables(spark, sf_dir), PRIMARY_KEYS)
+    return report.withColumn("key_values", F.array_join("key_values", ",", "NULL"))
 
 
 @register("dq_orphans")
@@ -386,6 +398,23 @@ def q_describe_categorical(spark, sf_dir):
     return profile.describe_categorical(_abt(spark, sf_dir))
 
 
+@register("describe_identifiers")
+def q_describe_identifiers(spark, sf_dir):
+    """Count, distinct values and most frequent value of the id columns, whatever their type."""
+    return profile.describe_categorical(_base(spark, sf_dir), [PERSON, "first_order_id"])
+
+
+@register("describe_datetime")
+def q_describe_datetime(spark, sf_dir):
+    return profile.describe_datetime(_base(spark, sf_dir).select("first_order_timestamp"))
+
+
+@register("histogram_datetime")
+def q_histogram_datetime(spark, sf_dir):
+    """Bounds in microseconds since 1970."""
+    return profile.histogram(profile.as_micros(_base(spark, sf_dir).select("first_order_timestamp")), bins=10)
+
+
 @register("quantiles")
 def q_quantiles(spark, sf_dir):
     q = profile.exact_quantiles(_base(spark, sf_dir), ["review_response_delay_days"], [0.1, 0.99])
@@ -442,6 +471,11 @@ def q_one_hot(spark, sf_dir):
     return encode.one_hot(a, list(clean.CATEGORICAL), dtype="tinyint")
 
 
+@register("one_hot_long")
+def q_one_hot_long(spark, sf_dir):
+    return encode.one_hot_long(_base(spark, sf_dir), PERSON, list(clean.CATEGORICAL))
+
+
 @register("abt_clean")
 def q_abt_clean(spark, sf_dir):
     return _clean(spark, sf_dir)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import clean, metrics, model, split
+from ..operators import clean, encode, metrics, model, split
 from ..operators.cohort import PERSON
 from ..session import checkpoint_dir
 from ..sources import files
@@ -21,8 +21,11 @@ LABEL = "reordered_180d"
 
 
 def run(spark: SparkSession, src: Sources, cfg: Config, out_dir: str | None = None,
-        trees: int | None = None, draws: int | None = None, export_csv: bool = True) -> dict:
-    """``trees`` and ``draws`` default to those of ``cfg``. Returns the paths of what was written."""
+        trees: int | None = None, draws: int | None = None, export_csv: bool = True,
+        export_wide: bool = False) -> dict:
+    """``trees`` and ``draws`` default to those of ``cfg``. ``export_wide`` adds the clean set with a 0/1
+    column per level, for few levels only: their list comes to the driver. Returns the paths of what
+    was written."""
     trees, draws = trees or cfg.trees, draws or cfg.draws
     out = (out_dir or f"{checkpoint_dir(spark).rstrip('/')}/pipeline").rstrip("/")
     paths: dict[str, str] = {}
@@ -33,12 +36,13 @@ def run(spark: SparkSession, src: Sources, cfg: Config, out_dir: str | None = No
     if export_csv:
         paths["bi_extract"] = files.write_csv(bi, f"{out}/bi_extract_csv")
 
-    if export_csv:
-        # The wide one-hot set is an export for analysts; training uses sparse vectors instead.
-        wide = clean.clean_abt(abt)
-        paths["abt_clean_csv"] = files.write_csv(wide, f"{out}/abt_clean_csv")
     cleaned = files.materialize(clean.clean_abt(abt, keep=(PERSON,), one_hot_columns=()), f"{out}/abt_clean")
     paths["abt_clean"] = f"{out}/abt_clean"
+    if export_csv:
+        paths["abt_clean_csv"] = files.write_csv(cleaned, f"{out}/abt_clean_csv")
+        paths["one_hot_csv"] = files.write_csv(encode.one_hot_long(cleaned, PERSON, clean.CATEGORICAL), f"{out}/one_hot_csv")
+    if export_csv and export_wide:
+        paths["abt_wide_csv"] = files.write_csv(clean.clean_abt(abt), f"{out}/abt_wide_csv")
 
     flagged = split.stratified_split(cleaned, LABEL, PERSON, cfg.test_share, cfg.seed, folds=cfg.folds)
     categorical = list(clean.CATEGORICAL)

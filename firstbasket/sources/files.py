@@ -8,10 +8,12 @@ reads it back, which both checkpoints the lineage and survives executor loss.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
+from .dimensions import bounded_broadcast
+
 CSV_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
@@ -79,3 +81,15 @@ def save_table(df: DataFrame, name: str, namespace: str | None = None, partition
         w = w.partitionBy(*partition_by)
     w.saveAsTable(full)
     return full
+
+
+def with_file_position(df: DataFrame, out_col: str = "file_row") -> DataFrame:
+    """Adds the 1-based place of each row over the Parquet files that ``df`` reads, in the order of their
+    names. Offsets are a running sum over one row per file."""
+    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    placed = df.select("*", name.alias("_file"), row.alias("_row"))
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (placed.join(bounded_broadcast(offsets), "_file").withColumn(out_col, F.col("_off") + F.col("_row") + 1)
+            .select(*df.columns, out_col))

@@ -44,7 +44,7 @@ def run(spark: SparkSession, src: Sources, cfg: Config, out_dir: str | None = No
     if export_csv and export_wide:
         paths["abt_wide_csv"] = files.write_csv(clean.clean_abt(abt), f"{out}/abt_wide_csv")
 
-    flagged = split.stratified_split(cleaned, LABEL, PERSON, cfg.test_share, cfg.seed, folds=cfg.folds)
+    flagged = model.keep_rows(split.stratified_split(cleaned, LABEL, PERSON, cfg.test_share, cfg.seed, folds=cfg.folds))
     categorical = list(clean.CATEGORICAL)
     numeric = model.feature_columns(flagged, LABEL, exclude=(PERSON, "is_test", "fold"))
     missing = model.missing_columns(flagged.where(F.col("is_test") == 0), numeric)

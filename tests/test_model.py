@@ -56,3 +56,15 @@ def test_search_runs_every_draw_on_every_fold(spark):
 def test_default_search_is_the_whole_one():
     from firstbasket.config import Config
     assert (Config().draws, Config().trees) == (model.DEFAULT_DRAWS, model.DEFAULT_TREES) == (30, 800)
+
+
+def test_training_passes_read_the_split_rows_once_written(spark, monkeypatch):
+    from firstbasket.plans import catalog
+    rows = [(i, float(i % 7) if i % 9 else None, "x" if i % 2 else "y", int(i % 5 == 0)) for i in range(60)] + [(3, 1.0, "x", 0), (None, 2.0, "y", 0)]
+    df = spark.createDataFrame(rows, f"{catalog.PERSON} long, a double, kind string, {catalog.LABEL} int")
+    monkeypatch.setattr(catalog, "_clean", lambda *args, **kw: df)
+    train, test, features = catalog._model_sets(spark, "unused")
+    assert features == ["a", "a__missing"] and train.count() + test.count() == len(rows)
+    for part in (train, test):  # the split's passes and joins are not in the plan of any pass
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Scan ExistingRDD" in plan and "MapInArrow" not in plan and "Join" not in plan

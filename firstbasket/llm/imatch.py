@@ -26,6 +26,7 @@ LOW, HIGH = 0.0005, 0.2  # shares of all documents that hold a term of the lexic
 RATES = 8  # subsets keep a term with chance 1/2 ... 1/2**RATES
 PER_RATE = 3
 SUBSETS = RATES * PER_RATE
+OWN, NEW, BOTH = 1, 2, 3  # whether a term is in the text, in the edited one, or in both
 LEXICON_BROADCAST_ROWS = 2_000_000  # two numbers each; a larger lexicon meets the terms in a shuffle
 
 
@@ -114,25 +115,31 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     asked = order.select(F.col("key").alias("to"), F.col("next_key").alias("from"), "third")
     heads = rows.join(asked, F.col("key") == F.col("from")).select("to", F.expr("substring(text, 1, third)").alias("head"))
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) as int))"), "head")
-    both = rows.join(heads, F.col("key") == F.col("to")).select("key", "text", edited.alias("edited"))
+    # The key as read back, as which the join deals the rows out: the grouping below then needs no shuffle of the terms.
+    both = rows.join(heads, F.col("key") == F.col("to")).select(F.col("to").alias("key"), "text", edited.alias("edited"))
     both = both.select("key", "text", "edited", F.sha2("edited", 256).alias("sha"))  # once a text: what stands beside explode() is made per term
-    entry = lambda kind: lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"))
+    # Of each term, in which of the two texts it is: most are in both and have one row.
+    own_terms, new_terms = terms(F.col("text")), terms(F.col("edited"))
     none = F.lit(None).cast("bigint")
-    start = F.array(*[F.struct(F.lit(k).alias("kind"), none.alias("term")) for k in (0, 1)])  # a row for a text without terms
-    spread = both.select("key", "sha", F.explode(F.concat(
-        start, F.transform(terms(F.col("text")), entry(0)), F.transform(terms(F.col("edited")), entry(1)))).alias("x"))
+    entry = lambda side: lambda t: F.struct(F.lit(side).alias("side"), t.alias("term"), F.lit(None).cast("string").alias("sha"))
+    start = F.array(F.struct(F.lit(BOTH).alias("side"), none.alias("term"), F.col("sha").alias("sha")))  # a row for a text without terms
+    spread = (both.select("key", "sha", own_terms.alias("a"), new_terms.alias("b"))
+              .select("key", F.explode(F.concat(
+                  start, F.transform(F.array_intersect("a", "b"), entry(BOTH)), F.transform(F.array_except("a", "b"), entry(OWN)),
+                  F.transform(F.array_except("b", "a"), entry(NEW)))).alias("x")))
     # A row without a term has a key that no other has, so that a join by shuffle deals them out.
     meets = F.when(F.col("term").isNull(), F.struct(F.lit(None).cast("bigint").alias("term"), F.xxhash64("key").alias("alone"))).otherwise(
         F.struct("term", F.lit(0).cast("bigint").alias("alone")))
-    known = bounded_broadcast(lex.select(F.struct("term", F.lit(0).cast("bigint").alias("alone")).alias("lex_key"), "subsets"), LEXICON_BROADCAST_ROWS)
-    kept = (spread.select("key", "sha", "x.kind", "x.term").join(known, meets == F.col("lex_key"), "left")
-            .filter("term is null or subsets is not null").select("key", "sha", "kind", F.when(F.col("term").isNotNull(), F.struct(
-                F.xxhash64("term").alias("h"), "subsets")).alias("found")))
-    made = work.save(kept.groupBy("key", "sha", "kind").agg(F.collect_list("found").alias("found"))  # a text's distinct terms: it holds them itself
-                     .select("key", F.col("sha").alias("edited_sha256"), "kind", list_hashes(F.col("found")).alias("fp")), "fingerprints")
-    own, new = made.filter("kind = 0").select("key", "fp"), made.filter("kind = 1").select(F.col("key").alias("new_key"), "edited_sha256", F.col("fp").alias("edited_fp"))
-    made = own.join(new, F.col("key") == F.col("new_key")).drop("new_key")
-    after = own.select(F.col("key").alias("after_key"), F.col("fp").alias("next_fp"))
+    # A term that is in no subset is in no list.
+    known = bounded_broadcast(lex.filter("subsets != 0").select(F.struct("term", F.lit(0).cast("bigint").alias("alone")).alias("lex_key"), "subsets"),
+                              LEXICON_BROADCAST_ROWS)
+    kept = (spread.select("key", "x.side", "x.term", "x.sha").join(known, meets == F.col("lex_key"), "left")
+            .filter("term is null or subsets is not null"))
+    one = F.when(F.col("term").isNotNull(), F.struct(F.xxhash64("term").alias("h"), "subsets", "side"))
+    met = kept.groupBy("key").agg(F.max("sha").alias("edited_sha256"), F.collect_list(one).alias("found"))  # a text's distinct terms: it holds them itself
+    in_text = lambda other: list_hashes(F.filter("found", lambda x: x["side"] != other))
+    made = work.save(met.select("key", "edited_sha256", in_text(NEW).alias("fp"), in_text(OWN).alias("edited_fp")), "fingerprints")
+    after = made.select(F.col("key").alias("after_key"), F.col("fp").alias("next_fp"))
     chars = keys.select(F.col("key").alias("chars_key"), "n_chars")
     out = (order.join(made, "key").join(after, F.col("next_key") == F.col("after_key")).join(chars, F.col("key") == F.col("chars_key"))
            .select(F.col("key.id").alias(id_col), "n_chars", "edited_sha256", _shown(F.col("fp")).alias("fingerprint"),

@@ -54,3 +54,16 @@ def test_equals_brute_force(spark, monkeypatch, broadcast_rows):
         want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), show(a), show(b), near(a, b), near(a, c)))
     assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
     assert imatch.compare_edited(df.limit(0)).count() == 0
+
+
+def test_a_text_has_one_row_of_fingerprints(spark, monkeypatch):
+    """Both texts' terms travel together: one row a key, not one for each of the two texts."""
+    made, save = {}, imatch.Work.save
+
+    def kept(self, df, name="t"):
+        made[name] = save(self, df, name)
+        return made[name]
+    monkeypatch.setattr(imatch.Work, "save", kept)
+    df = spark.createDataFrame([(1, "a b c d"), (2, "c d e"), (3, None), (3, None), (None, "a")], "doc_id bigint, text string")
+    assert imatch.compare_edited(df, low=0.01, high=1.0).count() == 5
+    assert made["fingerprints"].count() == 4

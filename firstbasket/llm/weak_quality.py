@@ -4,9 +4,8 @@ Heuristic labellers vote on every whole text: good, junk, toxic, or no vote. Whe
 labels is given, it settles the class of the rows it covers. Expectation-maximisation
 (one accuracy a labeller, votes independent given the class) runs on the counts of vote patterns
 over all documents: there are few patterns however many documents, so they are all that
-reaches the driver. The posterior of a pattern then labels documents, and a bounded sample of them
-(``train_rows``, a documented bound; rows that a person labelled come first) trains a hashed linear
-scorer: logistic regression on 2**16 hashed word beginnings and whole words, each by the logarithm of its share of the
+reaches the driver. The posterior of a pattern then labels documents, and all of them train a hashed linear
+scorer, however many there are: logistic regression on 2**16 hashed word beginnings and whole words, each by the logarithm of its share of the
 text's words, and a few shares. The scorer alone, which sees nothing but the text,
 decides on every document: it generalises from the labellers' own cues to words that go with them.
 
@@ -35,14 +34,13 @@ NONE, GOOD, JUNK, TOXIC = 0, 1, 2, 3
 CLASSES = (GOOD, JUNK, TOXIC)
 DIM = 1 << 16
 DENSE = 16  # the first places hold shares, the others hashed word beginnings
-TRAIN_ROWS = 20_000
-LEAST_ROWS = 2_000  # where persons labelled fewer, rows that only labellers judged fill up to this
 STEMS = (4, 6)  # lengths of the word beginnings, in bytes
 SHARE = 100.0  # a word counts log(1 + this much times its share of the text's words)
-FIT_TASKS = 8  # that share the training rows, which are bounded, in each of some hundred evaluations
-MIN_ROWS = 5  # training rows with a hashed feature, or it gets no weight
+FIT_TASKS, FIT_ROWS = 8, 10_000  # tasks that share the training rows in each of some hundred evaluations: 8, or one for so many rows
+MIN_ROWS = 5  # training rows with a hashed feature, others than a person's by their weight, or it gets no weight
 REGULAR = 3e-5
 HUMAN_WEIGHT = 20.0  # of a row that a person labelled, in training the scorer
+PRIOR_ROWS = 100  # the n other rows are a prior beside those: together they weigh n / (1 + n / this), so at most this
 # Common insults, a small lexicon for the toxicity labellers.
 INSULTS = frozenset((
     "idiot", "idiots", "moron", "morons", "stupid", "dumb", "loser", "losers", "scum", "trash", "garbage", "worthless", "pathetic",
@@ -69,6 +67,8 @@ class _Words:
         self.coef = None if coef is None else coef.tolist()  # single numbers are read faster from a list
         self.at: dict[str, int] = {}
         self.rows = np.zeros((1 << 12, 9))
+        self.places = np.full((1 << 12, len(STEMS) + 1), DIM, np.int32)  # DIM stands for no place
+        self.found, self.value = np.zeros(0, np.int64), np.zeros(0)  # the last text's different words and what each counts
 
     def _row(self, word: str) -> tuple[float, ...]:
         core = word.lower().strip(_EDGES)
@@ -87,7 +87,10 @@ class _Words:
         first = len(self.at)
         while first + len(new) > len(self.rows):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+            self.places = np.concatenate((self.places, np.full_like(self.places, DIM)))
         self.rows[first : first + len(new)] = [self._row(w) for w in new]
+        if self.coef is None:
+            self.places[first : first + len(new)] = [(_places(w.lower().strip(_EDGES)) + [DIM] * 3)[: len(STEMS) + 1] for w in new]
         self.at.update(zip(new, range(first, first + len(new))))
 
     def read(self, text: str) -> tuple[dict[str, float], float]:
@@ -101,11 +104,12 @@ class _Words:
         at = np.fromiter(map(self.at.__getitem__, count), np.int64, len(count))
         met = self.rows[at]
         each, some = np.fromiter(count.values(), float, len(count)), max(1, n)
+        self.found, self.value = at, np.log1p(SHARE / some * each)
         letters, upper, odd, shout, bare, clean, length, insults = (each @ met[:, :8]).tolist()
         kinds = len({w.lower().strip(_EDGES) for w, i in zip(count, met[:, 7]) if i}) if insults else 0
         return {"n": n, "odd": odd / max(1, len(text)), "upper": upper / max(1, letters), "bare": bare / some, "distinct": len(count) / some,
                 "adjacent": sum(map(eq, words, islice(words, 1, None))) / some, "shout": shout / some, "clean_ends": clean / some,
-                "length": length / some, "insults": insults, "insult_kinds": kinds}, float(np.log1p(SHARE / some * each) @ met[:, 8])
+                "length": length / some, "insults": insults, "insult_kinds": kinds}, float(self.value @ met[:, 8])
 
 
 def shares(text: str) -> dict[str, float]:
@@ -158,37 +162,41 @@ def _code(s: dict[str, float]) -> int:
     return sum(x << 2 * i for i, x in enumerate(votes(s)))
 
 
-def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's vote pattern, with the person's above the labellers', and its features by place: the shares, and
+    the sums over its different words."""
     words = _Words()
     for batch in batches:
-        code = [_code(words.read(t)[0]) for t in _texts(batch.column(2))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code, pa.int64())], names=["id", "h", "pattern"])
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = _Words()
-    for batch in batches:
-        places, values = [], []
-        for t in _texts(batch.column(1)):
-            x, count = {i: v for i, v in enumerate(_dense(words.read(t)[0])) if v}, Counter(t.split())
-            each = SHARE / max(1, sum(count.values()))
-            for w, c in count.items():
-                value = math.log1p(each * c)
-                for p in _places(w.lower().strip(_EDGES)):
-                    x[p] = x.get(p, 0.0) + value
-            order = sorted(x)
-            places.append(order)
-            values.append([x[p] for p in order])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))],
-                                         names=["pattern", "places", "shares"])
-
-
-def _training(batches: Iterator[pa.RecordBatch], often: np.ndarray, reject: dict[int, float]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(at, _ROWS)
+            code, row, place, value = [], [], [], []
+            for i, t in enumerate(_texts(part.column(2))):
+                s = words.read(t)[0]
+                code.append(_code(s))
+                dense, of = np.array(_dense(s)), words.places[words.found]
+                place += (np.arange(len(dense)), of.ravel())
+                value += (dense, np.repeat(words.value, of.shape[1]))
+                row.append(np.full(len(dense) + of.size, i))
+            key, flat = np.concatenate(row) * (DIM + 1) + np.concatenate(place), np.concatenate(value)
+            real = (flat != 0) & (key % (DIM + 1) != DIM)
+            key, flat = key[real], flat[real]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            total = np.add.reduceat(flat[order], first).astype(np.float32) if len(first) else np.zeros(0, np.float32)
+            ends = np.searchsorted(key[first], np.arange(part.num_rows + 1) * (DIM + 1)).astype(np.int32)
+            pattern = np.array(code, np.int64) + (part.column(3).to_numpy(zero_copy_only=False).astype(np.int64) << 2 * N_LABELLERS)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(pattern), pa.ListArray.from_arrays(pa.array(ends), pa.array((key[first] % (DIM + 1)).astype(np.int32))),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(total))], names=["id", "h", "pattern", "places", "shares"])
+
+
+def _training(batches: Iterator[pa.RecordBatch], often: np.ndarray, reject: dict[int, float], other: float) -> Iterator[pa.RecordBatch]:
     """Rows (label, weight, features): one for each class that the pattern leaves possible."""
     for batch in batches:
         code = batch.column(0).to_pylist()
         p = np.array([reject[c] for c in code])
-        w = np.where(np.array(code, np.int64) >> 2 * N_LABELLERS, HUMAN_WEIGHT, 1.0)
+        w = np.where(np.array(code, np.int64) >> 2 * N_LABELLERS, HUMAN_WEIGHT, other)
         row = np.concatenate((np.flatnonzero(p > 1e-6), np.flatnonzero(1 - p > 1e-6)))
         label = (np.arange(len(row)) < (p > 1e-6).sum()).astype(float)
         flat, at = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy()
@@ -196,13 +204,23 @@ def _training(batches: Iterator[pa.RecordBatch], often: np.ndarray, reject: dict
         of = np.repeat(np.arange(len(at)), at)[keep]
         ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(at))))).astype(np.int32)
         indices = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[keep])).take(pa.array(row))
-        values = pa.ListArray.from_arrays(pa.array(ends), pa.array(batch.column(2).flatten().to_numpy()[keep])).take(pa.array(row))
+        values = pa.ListArray.from_arrays(pa.array(ends), pa.array(batch.column(2).flatten().to_numpy()[keep].astype(float))).take(pa.array(row))
         features = pa.StructArray.from_arrays([pa.array(np.zeros(len(row), np.int8)), pa.array(np.full(len(row), DIM, np.int32)), indices, values],
                                               names=["type", "size", "indices", "values"])  # how Spark lays out a sparse vector
         yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(w[row] * np.where(label > 0, p[row], 1 - p[row])), features], names=["label", "weight", "features"])
 
 
-def _score(batches: Iterator[pa.RecordBatch], model, text_at: int, threshold: float, clean: bool) -> Iterator[pa.RecordBatch]:
+def _score_read(batches: Iterator[pa.RecordBatch], model, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Scores from the features that the training read."""
+    coef, intercept = model.value
+    for batch in batches:
+        flat, length = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy()
+        z = intercept + np.bincount(np.repeat(np.arange(len(length)), length), weights=coef[flat] * batch.column(2).flatten().to_numpy(), minlength=len(length))
+        score = 1 / (1 + np.exp(-np.clip(z, -500.0, 500.0)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(score < threshold)], names=["id", "score", "keep"])
+
+
+def _score(batches: Iterator[pa.RecordBatch], model, text_at: int, threshold: float) -> Iterator[pa.RecordBatch]:
     coef, intercept = model.value
     words = _Words(coef)
     for batch in batches:
@@ -212,11 +230,7 @@ def _score(batches: Iterator[pa.RecordBatch], model, text_at: int, threshold: fl
             d = _dense(s)
             z = intercept + weight + float(np.dot(coef[: len(d)], d))
             score.append(1 / (1 + math.exp(-max(-500.0, min(500.0, z)))))
-        keep = pa.array([s < threshold for s in score], pa.bool_())
-        if clean:
-            yield batch.filter(keep)
-        else:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), keep], names=["id", "score", "keep"])
+        yield batch.filter(pa.array([s < threshold for s in score], pa.bool_()))
 
 
 def estimate(patterns: list[tuple[int, int]], labellers: int = N_LABELLERS, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
@@ -246,51 +260,64 @@ def estimate(patterns: list[tuple[int, int]], labellers: int = N_LABELLERS, roun
 
 
 def train(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
-          train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
+          train_rows: int | None = None) -> tuple[np.ndarray, float]:
     """The scorer's (coefficients, intercept), learned from ``docs``.
 
     ``labels``: id_col, quality (0: junk), toxic (1: toxic), nulls for no vote; of several rows of an
-    id the worst counts. All documents take part in the estimate of the labellers; about
-    ``train_rows`` of them train the scorer: those that a person labelled; where these are fewer than
-    ``LEAST_ROWS``, others too, by their posterior, and without ``labels`` only those. Where there are
-    more than that, a hash of id and text chooses. Of rows that repeat one takes part."""
-    from pyspark.ml.classification import LogisticRegression
-
-    spark = docs.sparkSession
-    work = Work(spark, "quality")
+    id the worst counts. All documents take part in the estimate of the labellers, and all train the
+    scorer, however many there are: those that a person labelled by that, with ``HUMAN_WEIGHT``, the others by
+    their posterior, as a prior (``PRIOR_ROWS``). Of rows that repeat one takes part. A caller may set a bound of about ``train_rows``
+    rows: those that a person labelled come first, and a hash of id and text chooses."""
+    work, read = _features_read(docs, labels, id_col, text_col)
+    model = _fit(read, train_rows)
+    work.drop(read)
+    return model
+
+
+def _features_read(docs: DataFrame, labels: DataFrame | None, id_col: str, text_col: str) -> tuple[Work, DataFrame]:
+    """(id, h, pattern, places, shares) of every row of ``docs``, written: its texts are read once."""
+    work = Work(docs.sparkSession, "quality")
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(named([], id_col)).alias("id"), F.col(named([], text_col)).cast("string").alias("text")).select("id", F.xxhash64("id", "text").alias("h"), "text")
-    voted = rows.mapInArrow(_votes, f"id {id_type}, h bigint, pattern bigint")
+    rows = docs.select(F.col(named([], id_col)).alias("id"), F.col(named([], text_col)).cast("string").alias("text"))
+    person = F.lit(NONE)
     if labels is not None:
         said = labels.groupBy(F.col(named([], id_col)).alias("said_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-        human = (F.when(F.col("toxic") == 1, TOXIC).when(F.col("quality") == 0, JUNK)
-                 .when(F.coalesce("quality", F.lit(0)) + F.coalesce(1 - F.col("toxic"), F.lit(0)) > 0, GOOD).otherwise(NONE))
-        voted = voted.join(said, F.col("id") == F.col("said_id"), "left").select("id", "h", (F.col("pattern") + F.lit(1 << 2 * N_LABELLERS) * human).alias("pattern"))
-    voted = work.save(voted, "voted")
-    patterns = [tuple(r) for r in voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()]
+        person = (F.when(F.col("toxic") == 1, TOXIC).when(F.col("quality") == 0, JUNK)
+                  .when(F.coalesce("quality", F.lit(0)) + F.coalesce(1 - F.col("toxic"), F.lit(0)) > 0, GOOD).otherwise(NONE))
+        rows = rows.join(said, F.col("id") == F.col("said_id"), "left")
+    rows = rows.select("id", F.xxhash64("id", "text").alias("h"), "text", person.alias("person"))
+    return work, work.save(rows.mapInArrow(_read, f"id {id_type}, h bigint, pattern bigint, places array<int>, shares array<float>"), "read")
+
+
+def _fit(read: DataFrame, train_rows: int | None) -> tuple[np.ndarray, float]:
+    from pyspark.ml.classification import LogisticRegression
+
+    patterns = [tuple(r) for r in read.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()]
     if not patterns:
         return np.zeros(DIM), 0.0
     _, _, post = estimate(patterns)
-    by_person = sum(n for p, n in patterns if p >> 2 * N_LABELLERS)
-    others = sum(n for _, n in patterns) - by_person
-    fill = max(0, min(train_rows, LEAST_ROWS) - by_person) if by_person else train_rows
-    part = [min(1.0, bound / n) if n else 0.0 for bound, n in ((train_rows, by_person), (fill, others))]
-    below = F.when(F.shiftright("pattern", 2 * N_LABELLERS) > 0, math.ceil(part[0] * (1 << 20))).otherwise(math.ceil(part[1] * (1 << 20)))
-    chosen = (voted.filter(F.pmod("h", F.lit(1 << 20)) < below).groupBy(F.col("id").alias("c_id"), F.col("h").alias("c_h"))
-              .agg(F.max("pattern").alias("pattern")))  # about train_rows different rows, hence the broadcast
-    texts = (rows.join(F.broadcast(chosen), null_safe([rows.id, rows.h], [F.col("c_id"), F.col("c_h")])).groupBy("c_id", "c_h")
-             .agg(F.first("pattern").alias("pattern"), F.first("text").alias("text")).select("pattern", "text"))  # of rows that repeat, one
-    sample = work.save(texts.mapInArrow(_features, "pattern bigint, places array<int>, shares array<double>"), "sample")
-    often = np.zeros(DIM, bool)  # of DIM places at most
-    often[:DENSE] = True
-    often[[r.place for r in sample.select(F.explode("places").alias("place")).groupBy("place").count().filter(F.col("count") >= MIN_ROWS).select("place").collect()]] = True
-    data = work.save(sample.mapInArrow(partial(_training, often=often, reject={p: float(1 - x[0]) for p, x in post.items()}), _train_schema()), "train")
-    work.drop(voted, sample)
-    seen = {r.label for r in data.select("label").distinct().collect()}
+    data, n = read, sum(n for _, n in patterns)
+    if train_rows is not None:  # the caller's bound
+        by_person = sum(n for p, n in patterns if p >> 2 * N_LABELLERS)
+        part = [min(1.0, bound / m) if m else 0.0 for bound, m in ((train_rows, by_person), (max(0, train_rows - by_person), n - by_person))]
+        below = F.when(F.shiftright("pattern", 2 * N_LABELLERS) > 0, math.ceil(part[0] * (1 << 20))).otherwise(math.ceil(part[1] * (1 << 20)))
+        data = read.filter(F.pmod("h", F.lit(1 << 20)) < below)
+    if not read.groupBy("id", "h").count().filter("count > 1").isEmpty():
+        data = data.dropDuplicates(["id", "h"])
+    reject = {p: float(1 - x[0]) for p, x in post.items()}
+    used = {r.pattern: r["count"] for r in data.groupBy("pattern").count().collect()}
+    others = sum(m for p, m in used.items() if not p >> 2 * N_LABELLERS)
+    other = PRIOR_ROWS / (PRIOR_ROWS + others) if others < sum(used.values()) else 1.0
+    seen = {1.0 for p in used if reject[p] > 1e-6} | {0.0 for p in used if 1 - reject[p] > 1e-6}
     if len(seen) < 2:
         return np.zeros(DIM), 20.0 if seen == {1.0} else -20.0
-    model = LogisticRegression(maxIter=100, tol=1e-9, regParam=REGULAR, standardization=False, weightCol="weight").fit(data.coalesce(FIT_TASKS))
-    work.drop(data)
+    weigh = F.when(F.shiftright("pattern", 2 * N_LABELLERS) > 0, F.lit(1.0)).otherwise(F.lit(other))
+    held = data.select(F.explode("places").alias("place"), weigh.alias("weight")).groupBy("place").agg(F.sum("weight").alias("rows")).filter(F.col("rows") >= MIN_ROWS)
+    often = np.zeros(DIM, bool)  # of DIM places at most
+    often[:DENSE] = True
+    often[[r.place for r in held.select("place").collect()]] = True
+    rows = data.select("pattern", "places", "shares").coalesce(max(FIT_TASKS, n // FIT_ROWS)).mapInArrow(partial(_training, often=often, reject=reject, other=other), _train_schema())
+    model = LogisticRegression(maxIter=100, tol=1e-9, regParam=REGULAR, standardization=False, weightCol="weight").fit(rows)
     return model.coefficients.toArray(), float(model.intercept)
 
 
@@ -301,23 +328,23 @@ def _train_schema():
 
 
 def classify(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
-             train_rows: int = TRAIN_ROWS, threshold: float = 0.5) -> DataFrame:
+             train_rows: int | None = None, threshold: float = 0.5) -> DataFrame:
     """One row (``id_col``, score, keep) per row of ``docs``: score is the chance that the text is
     junk or toxic, keep whether it is under ``threshold``.
 
     A null text is an empty one, which like any other is judged by the scorer. Ids may be null or
     repeat; equal texts score equally; an empty table gives an empty result; other columns of
     ``docs`` are not read."""
+    _, read = _features_read(docs, labels, id_col, text_col)
+    model = docs.sparkSession.sparkContext.broadcast(_fit(read, train_rows))
     id_type = docs.schema[id_col].dataType.simpleString()
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, train_rows))
-    rows = docs.select(F.col(named([], id_col)).alias("id"), F.col(named([], text_col)).cast("string").alias("text"))
-    return (rows.mapInArrow(partial(_score, model=model, text_at=1, threshold=threshold, clean=False), f"id {id_type}, score double, keep boolean")
+    return (read.select("id", "places", "shares").mapInArrow(partial(_score_read, model=model, threshold=threshold), f"id {id_type}, score double, keep boolean")
             .withColumnRenamed("id", id_col))
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
-                  train_rows: int = TRAIN_ROWS, threshold: float = 0.5) -> DataFrame:
+                  train_rows: int | None = None, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) that the scorer keeps."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, train_rows))
     text_at = [c.lower() for c in docs.columns].index(text_col.lower())
-    return docs.mapInArrow(partial(_score, model=model, text_at=text_at, threshold=threshold, clean=True), docs.schema)
+    return docs.mapInArrow(partial(_score, model=model, text_at=text_at, threshold=threshold), docs.schema)

@@ -47,3 +47,17 @@ def test_odd_rows_and_no_labels(spark):
     kept = wq.drop_rejected(df)
     assert kept.columns == df.columns and kept.count() == sum(r.keep for r in got)
     assert wq.classify(df.limit(0)).count() == 0
+
+
+def test_every_document_trains_whatever_their_number(spark, monkeypatch):
+    """Rows that no person labelled take part beside any number of labelled ones, and no count cuts them."""
+    trained = []
+    texts = {0: "plain words that go on here as before, number", 1: "## %% || ## && %% junk** @@ ^^"}
+    docs = spark.createDataFrame([(i, f"{texts[i % 2]} w{i}") for i in range(2600)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(2100)], "doc_id bigint, quality int, toxic int")
+    from pyspark.ml.classification import LogisticRegression
+    inner = LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df, *a: trained.append(df.groupBy("weight").count().collect()) or inner(self, df, *a))
+    out = wq.classify(docs, labels).agg(F.count_if("keep").alias("kept"), F.count(F.lit(1)).alias("n")).first()
+    assert (out.kept, out.n) == (1300, 2600)
+    assert sum(r["count"] for r in trained[0] if r.weight > 15) == 2100 and sum(r["count"] for r in trained[0] if r.weight < 2) >= 500

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .work import Work, named, null_safe
+from ..sources.dimensions import bounded_broadcast
+from .work import Work, named
 
 NONE, GOOD, JUNK, TOXIC = 0, 1, 2, 3
 CLASSES = (GOOD, JUNK, TOXIC)
@@ -49,6 +50,7 @@ INSULTS = frozenset((
 ))
 _EDGES = ".,;:!?\"'()[]{}<>|*$#%&-_=+~`/\\"
 _ODD = frozenset("*$#%&|@^~<>{}\\_+=")
+LABEL_BROADCAST_ROWS = 1_000_000  # an id and two numbers each
 _MEMO = 1 << 17  # words whose properties a task keeps
 _ROWS = 256  # texts that a task holds as Python strings at once
 
@@ -284,7 +286,8 @@ def _features_read(docs: DataFrame, labels: DataFrame | None, id_col: str, text_
         said = labels.groupBy(F.col(named([], id_col)).alias("said_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
         person = (F.when(F.col("toxic") == 1, TOXIC).when(F.col("quality") == 0, JUNK)
                   .when(F.coalesce("quality", F.lit(0)) + F.coalesce(1 - F.col("toxic"), F.lit(0)) > 0, GOOD).otherwise(NONE))
-        rows = rows.join(said, F.col("id") == F.col("said_id"), "left")
+        # Broadcast behind a count, so that the texts aren't shuffled for it; more labels meet them in a shuffle.
+        rows = rows.join(bounded_broadcast(said, LABEL_BROADCAST_ROWS), F.col("id") == F.col("said_id"), "left")
     rows = rows.select("id", F.xxhash64("id", "text").alias("h"), "text", person.alias("person"))
     return work, work.save(rows.mapInArrow(_read, f"id {id_type}, h bigint, pattern bigint, places array<int>, shares array<float>"), "read")
 

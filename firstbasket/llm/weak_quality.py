@@ -10,17 +10,19 @@ text's words, and a few shares. The scorer alone, which sees nothing but the tex
 decides on every document: it generalises from the labellers' own cues to words that go with them.
 
 A text is counted word by word once, and what the labellers and the scorer want of a word is looked
-up in a table of the words met so far: both are sums over a text's different words.
+up in a table of the words met so far: both are sums over a text's different words. Features are kept as
+bytes, places as 16-bit and sums as 32-bit numbers.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import islice
+from itertools import islice, repeat
 from operator import eq
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -51,71 +53,110 @@ INSULTS = frozenset((
 _EDGES = ".,;:!?\"'()[]{}<>|*$#%&-_=+~`/\\"
 _ODD = frozenset("*$#%&|@^~<>{}\\_+=")
 LABEL_BROADCAST_ROWS = 1_000_000  # an id and two numbers each
+_KINDS = (str.isalpha, str.isupper, _ODD.__contains__, "!".__eq__, lambda c: c.isalnum() or c in ".,;:?")
+_INSULT_AT = {w: i for i, w in enumerate(sorted(INSULTS), 1)}
 _MEMO = 1 << 17  # words whose properties a task keeps
-_ROWS = 256  # texts that a task holds as Python strings at once
+_ROWS, _HELD = 256, 1 << 17  # texts that a task holds as Python strings at once; their different words, by text, that are read together
 
 
-def _places(core: str) -> list[int]:
-    """Places of a word's beginnings and of the whole word among the hashed features."""
-    raw = core.encode()
-    return [DENSE + crc32(x) % (DIM - DENSE) for x in {*(raw[:k] for k in STEMS), b"=" + raw}] if raw else []
+def _place(crc: Iterable[int], n: int) -> np.ndarray:
+    return DENSE + np.fromiter(crc, np.int64, n) % (DIM - DENSE)
+
+
+class _Run(NamedTuple):
+    """Some texts, read."""
+
+    shares: list[dict[str, float]]  # what the labellers look at, over each whole text
+    text: np.ndarray  # of every different word of each text: the text's number here,
+    places: np.ndarray  # the word's places, DIM for none,
+    value: np.ndarray  # and what it counts
+    weight: np.ndarray | None  # each text's summed weight of its words, where there are coefficients
 
 
 class _Words:
-    """A table of the words met: letters, upper-case ones, odd characters, exclamation marks, whether
-    the word is bare of letters, has a clean end, its length, whether it is an insult, and its weight."""
+    """A table of the words met. Of each: letters, upper-case ones, odd characters, exclamation marks, whether
+    it has a clean end, its length without edges, the insult it is (a number, or 0), and its places among the
+    hashed features. A large table's texts go on bringing new words, so those of some texts are computed at once."""
 
     def __init__(self, coef: np.ndarray | None = None):
-        self.coef = None if coef is None else coef.tolist()  # single numbers are read faster from a list
+        self.coef = None if coef is None else np.append(coef, 0.0)  # of no place: none
         self.at: dict[str, int] = {}
-        self.rows = np.zeros((1 << 12, 9))
+        self.rows = np.zeros((1 << 12, 7))
         self.places = np.full((1 << 12, len(STEMS) + 1), DIM, np.int32)  # DIM stands for no place
-        self.found, self.value = np.zeros(0, np.int64), np.zeros(0)  # the last text's different words and what each counts
-
-    def _row(self, word: str) -> tuple[float, ...]:
-        core = word.lower().strip(_EDGES)
-        if core.isalpha():
-            letters, upper = len(core), 0 if word.islower() else sum(map(str.isupper, word))
-        else:
-            letters, upper = sum(map(str.isalpha, word)), sum(map(str.isupper, word))
-        odd = 0 if _ODD.isdisjoint(word) else sum(c in _ODD for c in word)
-        weight = 0.0
-        if self.coef is not None:
-            for p in _places(core):
-                weight += self.coef[p]
-        return letters, upper, odd, word.count("!"), not core, word[-1].isalnum() or word[-1] in ".,;:?", len(core), core in INSULTS, weight
+        self.kinds = np.zeros(0x110000, np.uint8)  # of the characters met: a bit for each of _KINDS, and the highest
+
+    def _kinds(self, text: str) -> np.ndarray:
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        for c in np.unique(code[self.kinds[code] == 0]).tolist():
+            self.kinds[c] = 128 + sum(kind(chr(c)) << i for i, kind in enumerate(_KINDS))
+        return self.kinds[code]
 
     def _add(self, new: list[str]) -> None:
-        first = len(self.at)
-        while first + len(new) > len(self.rows):
+        """The properties of ``new``, the last words in the table. No word holds a line end."""
+        first, n = len(self.at) - len(new), len(new)
+        while first + n > len(self.rows):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
             self.places = np.concatenate((self.places, np.full_like(self.places, DIM)))
-        self.rows[first : first + len(new)] = [self._row(w) for w in new]
-        if self.coef is None:
-            self.places[first : first + len(new)] = [(_places(w.lower().strip(_EDGES)) + [DIM] * 3)[: len(STEMS) + 1] for w in new]
-        self.at.update(zip(new, range(first, first + len(new))))
-
-    def read(self, text: str) -> tuple[dict[str, float], float]:
-        """What the labellers look at, over the whole text, and the summed weight of its words."""
-        words = text.split()
-        n, count = len(words), Counter(words)
-        if len(self.at) > _MEMO:
-            self.at.clear()
-        if new := [w for w in count if w not in self.at]:
+        kinds, ends = self._kinds("\n".join(new)), np.cumsum(np.fromiter(map(len, new), np.int64, n) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        cores = [w.strip(_EDGES) for w in "\n".join(new).lower().split("\n")]
+        rows, places = self.rows[first : first + n], self.places[first : first + n]
+        for i in range(4):
+            rows[:, i] = np.add.reduceat(kinds >> i & 1, starts, dtype=np.int64)
+        rows[:, 4] = kinds[ends - 1] >> 4 & 1
+        rows[:, 5] = np.fromiter(map(len, cores), np.int64, n)
+        rows[:, 6] = np.fromiter(map(_INSULT_AT.get, cores, repeat(0)), np.int64, n)
+        raw = "\n".join(cores).encode().split(b"\n")
+        size = np.fromiter(map(len, raw), np.int64, n)
+        for i, (k, over) in enumerate(zip(STEMS, (0, *STEMS))):  # a word no longer than the last beginning has no other
+            places[:, i] = np.where(size > over, _place(map(crc32, [x[:k] for x in raw]), n), DIM)
+        places[:, -1] = np.where(size > 0, _place(map(crc32, raw, repeat(crc32(b"="))), n), DIM)
+
+    def read(self, texts: Iterable[str]) -> Iterator[_Run]:
+        held, new, distinct = [], [], 0
+        for text in texts:
+            if not held and len(self.at) > _MEMO:
+                self.at.clear()
+            words = text.split()
+            count = Counter(words)
+            if some := [w for w in count if w not in self.at]:
+                self.at.update(zip(some, range(len(self.at), len(self.at) + len(some))))
+                new += some
+            held.append((len(text), len(words), sum(map(eq, words, islice(words, 1, None))),
+                         np.fromiter(map(self.at.__getitem__, count), np.int64, len(count)), np.fromiter(count.values(), float, len(count))))
+            distinct += len(count)
+            if len(held) == _ROWS or distinct > _HELD:
+                yield self._run(held, new)
+                held, new, distinct = [], [], 0
+        if held:
+            yield self._run(held, new)
+
+    def _run(self, held: list[tuple], new: list[str]) -> _Run:
+        if new:
             self._add(new)
-        at = np.fromiter(map(self.at.__getitem__, count), np.int64, len(count))
-        met = self.rows[at]
-        each, some = np.fromiter(count.values(), float, len(count)), max(1, n)
-        self.found, self.value = at, np.log1p(SHARE / some * each)
-        letters, upper, odd, shout, bare, clean, length, insults = (each @ met[:, :8]).tolist()
-        kinds = len({w.lower().strip(_EDGES) for w, i in zip(count, met[:, 7]) if i}) if insults else 0
-        return {"n": n, "odd": odd / max(1, len(text)), "upper": upper / max(1, letters), "bare": bare / some, "distinct": len(count) / some,
-                "adjacent": sum(map(eq, words, islice(words, 1, None))) / some, "shout": shout / some, "clean_ends": clean / some,
-                "length": length / some, "insults": insults, "insult_kinds": kinds}, float(self.value @ met[:, 8])
+        chars, n, adjacent, at, each = zip(*held)
+        texts, kinds = len(held), np.array([len(x) for x in at])
+        text, at, each = np.repeat(np.arange(texts), kinds), np.concatenate(at), np.concatenate(each)
+        met, some = self.rows[at], np.maximum(1, n)
+        value = np.log1p((SHARE / some)[text] * each)
+
+        def total(of: np.ndarray) -> np.ndarray:
+            return np.bincount(text, weights=each * of, minlength=texts)
+
+        letters, upper, odd, shout, clean, length = (total(met[:, i]) for i in range(6))
+        insult = np.flatnonzero(met[:, 6])
+        columns = {"n": n, "odd": odd / np.maximum(1, chars), "upper": upper / np.maximum(1, letters), "bare": total(met[:, 5] == 0) / some,
+                   "distinct": kinds / some, "adjacent": np.array(adjacent) / some, "shout": shout / some, "clean_ends": clean / some,
+                   "length": length / some, "insults": total(met[:, 6] > 0),
+                   "insult_kinds": np.bincount(np.unique(np.stack((text[insult], met[insult, 6])), axis=1)[0].astype(np.int64), minlength=texts)}
+        shares = [dict(zip(columns, row)) for row in zip(*(np.asarray(x).tolist() for x in columns.values()))]
+        places = self.places[at]
+        weight = None if self.coef is None else np.bincount(text, weights=value * self.coef[places].sum(axis=1), minlength=texts)
+        return _Run(shares, text, places, value, weight)
 
 
 def shares(text: str) -> dict[str, float]:
-    return _Words().read(text)[0]
+    return next(_Words().read([text])).shares[0]
 
 
 def votes(s: dict[str, float]) -> tuple[int, ...]:
@@ -164,33 +205,52 @@ def _code(s: dict[str, float]) -> int:
     return sum(x << 2 * i for i, x in enumerate(votes(s)))
 
 
+def _packed(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The rows' numbers as bytes: Spark copies such a value as a whole, and an array number by number."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * flat.itemsize).astype(np.int32)), pa.py_buffer(flat.tobytes())])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All the rows' numbers, and how many each row has."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), kind), np.fromiter(map(len, rows), np.int64, len(rows)) // np.dtype(kind).itemsize
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's vote pattern, with the person's above the labellers', and its features by place: the shares, and
     the sums over its different words."""
     words = _Words()
     for batch in batches:
-        for at in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(at, _ROWS)
-            code, row, place, value = [], [], [], []
-            for i, t in enumerate(_texts(part.column(2))):
-                s = words.read(t)[0]
-                code.append(_code(s))
-                dense, of = np.array(_dense(s)), words.places[words.found]
-                place += (np.arange(len(dense)), of.ravel())
-                value += (dense, np.repeat(words.value, of.shape[1]))
-                row.append(np.full(len(dense) + of.size, i))
-            key, flat = np.concatenate(row) * (DIM + 1) + np.concatenate(place), np.concatenate(value)
+        at = 0
+        for run in words.read(_texts(batch.column(2))):
+            part = batch.slice(at, len(run.shares))
+            at += part.num_rows
+            dense = np.array([_dense(s) for s in run.shares])
+            text = np.concatenate((np.repeat(np.arange(len(dense)), dense.shape[1]), np.repeat(run.text, run.places.shape[1])))
+            key = text * (DIM + 1) + np.concatenate((np.tile(np.arange(dense.shape[1]), len(dense)), run.places.ravel()))
+            flat = np.concatenate((dense.ravel(), np.repeat(run.value, run.places.shape[1])))
             real = (flat != 0) & (key % (DIM + 1) != DIM)
             key, flat = key[real], flat[real]
             order = np.argsort(key, kind="stable")
             key = key[order]
             first = np.flatnonzero(np.diff(key, prepend=-1))
             total = np.add.reduceat(flat[order], first).astype(np.float32) if len(first) else np.zeros(0, np.float32)
-            ends = np.searchsorted(key[first], np.arange(part.num_rows + 1) * (DIM + 1)).astype(np.int32)
-            pattern = np.array(code, np.int64) + (part.column(3).to_numpy(zero_copy_only=False).astype(np.int64) << 2 * N_LABELLERS)
+            ends = np.searchsorted(key[first], np.arange(part.num_rows + 1) * (DIM + 1))
+            pattern = np.array([_code(s) for s in run.shares], np.int64) + (part.column(3).to_numpy(zero_copy_only=False).astype(np.int64) << 2 * N_LABELLERS)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(pattern), pa.ListArray.from_arrays(pa.array(ends), pa.array((key[first] % (DIM + 1)).astype(np.int32))),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(total))], names=["id", "h", "pattern", "places", "shares"])
+                [part.column(0), part.column(1), pa.array(pattern), _packed((key[first] % (DIM + 1)).astype(np.uint16), ends), _packed(total, ends)],
+                names=["id", "h", "pattern", "places", "shares"])
+
+
+def _rows_of_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many rows of (pattern, places) have each place: those that a person labelled, and others."""
+    n = np.zeros((2, DIM), np.int64)
+    for batch in batches:
+        flat, at = _unpacked(batch.column(1), np.uint16)
+        person = np.repeat(batch.column(0).to_numpy() >> 2 * N_LABELLERS > 0, at)
+        n += np.bincount(flat + DIM * person, minlength=2 * DIM).reshape(2, DIM)
+    place = np.flatnonzero(n.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(n[1, place]), pa.array(n[0, place])], names=["place", "person", "others"])
 
 
 def _training(batches: Iterator[pa.RecordBatch], often: np.ndarray, reject: dict[int, float], other: float) -> Iterator[pa.RecordBatch]:
@@ -201,12 +261,12 @@ def _training(batches: Iterator[pa.RecordBatch], often: np.ndarray, reject: dict
         w = np.where(np.array(code, np.int64) >> 2 * N_LABELLERS, HUMAN_WEIGHT, other)
         row = np.concatenate((np.flatnonzero(p > 1e-6), np.flatnonzero(1 - p > 1e-6)))
         label = (np.arange(len(row)) < (p > 1e-6).sum()).astype(float)
-        flat, at = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy()
+        flat, at = _unpacked(batch.column(1), np.uint16)
         keep = often[flat]
         of = np.repeat(np.arange(len(at)), at)[keep]
         ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(at))))).astype(np.int32)
-        indices = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[keep])).take(pa.array(row))
-        values = pa.ListArray.from_arrays(pa.array(ends), pa.array(batch.column(2).flatten().to_numpy()[keep].astype(float))).take(pa.array(row))
+        indices = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[keep].astype(np.int32))).take(pa.array(row))
+        values = pa.ListArray.from_arrays(pa.array(ends), pa.array(_unpacked(batch.column(2), np.float32)[0][keep].astype(float))).take(pa.array(row))
         features = pa.StructArray.from_arrays([pa.array(np.zeros(len(row), np.int8)), pa.array(np.full(len(row), DIM, np.int32)), indices, values],
                                               names=["type", "size", "indices", "values"])  # how Spark lays out a sparse vector
         yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(w[row] * np.where(label > 0, p[row], 1 - p[row])), features], names=["label", "weight", "features"])
@@ -216,8 +276,8 @@ def _score_read(batches: Iterator[pa.RecordBatch], model, threshold: float) -> I
     """Scores from the features that the training read."""
     coef, intercept = model.value
     for batch in batches:
-        flat, length = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy()
-        z = intercept + np.bincount(np.repeat(np.arange(len(length)), length), weights=coef[flat] * batch.column(2).flatten().to_numpy(), minlength=len(length))
+        flat, length = _unpacked(batch.column(1), np.uint16)
+        z = intercept + np.bincount(np.repeat(np.arange(len(length)), length), weights=coef[flat] * _unpacked(batch.column(2), np.float32)[0], minlength=len(length))
         score = 1 / (1 + np.exp(-np.clip(z, -500.0, 500.0)))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(score < threshold)], names=["id", "score", "keep"])
 
@@ -227,11 +287,11 @@ def _score(batches: Iterator[pa.RecordBatch], model, text_at: int, threshold: fl
     words = _Words(coef)
     for batch in batches:
         score = []
-        for t in _texts(batch.column(text_at)):
-            s, weight = words.read(t)
-            d = _dense(s)
-            z = intercept + weight + float(np.dot(coef[: len(d)], d))
-            score.append(1 / (1 + math.exp(-max(-500.0, min(500.0, z)))))
+        for run in words.read(_texts(batch.column(text_at))):
+            for s, weight in zip(run.shares, run.weight.tolist()):
+                d = _dense(s)
+                z = intercept + weight + float(np.dot(coef[: len(d)], d))
+                score.append(1 / (1 + math.exp(-max(-500.0, min(500.0, z)))))
         yield batch.filter(pa.array([s < threshold for s in score], pa.bool_()))
 
 
@@ -289,7 +349,7 @@ def _features_read(docs: DataFrame, labels: DataFrame | None, id_col: str, text_
         # Broadcast behind a count, so that the texts aren't shuffled for it; more labels meet them in a shuffle.
         rows = rows.join(bounded_broadcast(said, LABEL_BROADCAST_ROWS), F.col("id") == F.col("said_id"), "left")
     rows = rows.select("id", F.xxhash64("id", "text").alias("h"), "text", person.alias("person"))
-    return work, work.save(rows.mapInArrow(_read, f"id {id_type}, h bigint, pattern bigint, places array<int>, shares array<float>"), "read")
+    return work, work.save(rows.mapInArrow(_read, f"id {id_type}, h bigint, pattern bigint, places binary, shares binary"), "read")
 
 
 def _fit(read: DataFrame, train_rows: int | None) -> tuple[np.ndarray, float]:
@@ -314,8 +374,8 @@ def _fit(read: DataFrame, train_rows: int | None) -> tuple[np.ndarray, float]:
     seen = {1.0 for p in used if reject[p] > 1e-6} | {0.0 for p in used if 1 - reject[p] > 1e-6}
     if len(seen) < 2:
         return np.zeros(DIM), 20.0 if seen == {1.0} else -20.0
-    weigh = F.when(F.shiftright("pattern", 2 * N_LABELLERS) > 0, F.lit(1.0)).otherwise(F.lit(other))
-    held = data.select(F.explode("places").alias("place"), weigh.alias("weight")).groupBy("place").agg(F.sum("weight").alias("rows")).filter(F.col("rows") >= MIN_ROWS)
+    held = data.select("pattern", "places").mapInArrow(_rows_of_places, "place int, person bigint, others bigint").groupBy("place").agg(
+        (F.sum("person") + F.sum("others") * other).alias("rows")).filter(F.col("rows") >= MIN_ROWS)
     often = np.zeros(DIM, bool)  # of DIM places at most
     often[:DENSE] = True
     often[[r.place for r in held.select("place").collect()]] = True

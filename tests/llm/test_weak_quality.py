@@ -61,3 +61,76 @@ def test_every_document_trains_whatever_their_number(spark, monkeypatch):
     out = wq.classify(docs, labels).agg(F.count_if("keep").alias("kept"), F.count(F.lit(1)).alias("n")).first()
     assert (out.kept, out.n) == (1300, 2600)
     assert sum(r["count"] for r in trained[0] if r.weight > 15) == 2100 and sum(r["count"] for r in trained[0] if r.weight < 2) >= 500
+
+
+def _batch(texts):
+    import pyarrow as pa
+    n = len(texts)
+    return pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array(texts), pa.array([0] * n, pa.int32())], names=["id", "h", "text", "person"])
+
+
+def test_new_words_are_read_together():
+    """No function runs for each of the words that a task meets first: nearly all words of a large table are such."""
+    import sys
+    texts = [" ".join(f"w{i}x{j}" for j in range(100)) for i in range(300)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    batch = _batch(texts)
+    sys.setprofile(count)
+    try:
+        rows = sum(b.num_rows for b in wq._read([batch]))
+    finally:
+        sys.setprofile(None)
+    assert rows == 300 and calls < 300 * 100 / 2
+
+
+def test_features_against_a_plain_count(monkeypatch):
+    """Shares and hashed features word by word, whatever the script and however the texts fall into runs."""
+    import random
+    from collections import Counter
+    from math import log1p
+    from zlib import crc32
+
+    import numpy as np
+    rng = random.Random(5)
+    letters = "aZé!*.,-_=İΣσςẞǅⅨⒶ中😀'\"̇​1٣the"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += [None, "", " \n\x1c\x85 ", "idiot Idiot! moron.", "word " * 3000, "x" * 5000 + " = ==", "*** ### ="]
+
+    def plain(text):
+        words, of = text.split(), Counter()
+        for w, k in Counter(words).items():
+            raw = w.lower().strip(wq._EDGES).encode()
+            for part in {raw[:4], raw[:6], b"=" + raw} if raw else ():
+                of[wq.DENSE + crc32(part) % (wq.DIM - wq.DENSE)] += log1p(wq.SHARE / len(words) * k)
+        cores = [w.lower().strip(wq._EDGES) for w in words]
+        n, alpha = max(1, len(words)), sum(map(str.isalpha, text))
+        return {"n": len(words), "odd": sum(c in wq._ODD for c in text) / max(1, len(text)), "upper": sum(map(str.isupper, text)) / max(1, alpha),
+                "bare": cores.count("") / n, "distinct": len(set(words)) / n, "adjacent": sum(a == b for a, b in zip(words, words[1:])) / n,
+                "shout": text.count("!") / n, "clean_ends": sum(w[-1].isalnum() or w[-1] in ".,;:?" for w in words) / n,
+                "length": sum(map(len, cores)) / n, "insults": sum(c in wq.INSULTS for c in cores), "insult_kinds": len(wq.INSULTS & set(cores))}, of
+
+    for memo, held in ((wq._MEMO, wq._HELD), (50, 200)):
+        monkeypatch.setattr(wq, "_MEMO", memo)
+        monkeypatch.setattr(wq, "_HELD", held)
+        got = [r for b in wq._read([_batch(texts[:120]), _batch(texts[120:])]) for r in b.to_pylist()]
+        assert len(got) == len(texts)
+        for text, row in zip(texts, got):
+            shares, of = plain(text or "")
+            assert wq.shares(text or "") == shares and row["pattern"] == wq._code(shares)
+            of.update({i: x for i, x in enumerate(wq._dense(shares)) if x})
+            places, values = np.frombuffer(row["places"], np.uint16).tolist(), np.frombuffer(row["shares"], np.float32)
+            assert places == sorted(of) and np.allclose(values, [of[p] for p in places], rtol=1e-6)
+
+
+def test_rows_of_places(spark):
+    """Rows with a place are counted apart by whether a person labelled them."""
+    import numpy as np
+    rows = [(1 << 2 * wq.N_LABELLERS, [3, 70]), (5, [70, 65535]), (5, [70]), (7, [])]
+    df = spark.createDataFrame([(p, np.array(x, np.uint16).tobytes()) for p, x in rows], "pattern bigint, places binary").coalesce(1)
+    out = df.mapInArrow(wq._rows_of_places, "place int, person bigint, others bigint").collect()
+    assert {tuple(r) for r in out} == {(3, 1, 0), (70, 1, 2), (65535, 0, 1)}

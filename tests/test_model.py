@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from firstbasket.operators import metrics, model
@@ -68,3 +69,24 @@ def test_training_passes_read_the_split_rows_once_written(spark, monkeypatch):
     for part in (train, test):  # the split's passes and joins are not in the plan of any pass
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Scan ExistingRDD" in plan and "MapInArrow" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", ["tune_classifier"])
+def test_registered_training_runs_every_round_and_draw(spark, monkeypatch, name):
+    from firstbasket.plans import catalog
+    rows = [(i, float(i % 7), int(i % 5 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, f"{catalog.PERSON} long, a double, {catalog.LABEL} int")
+    monkeypatch.setattr(catalog, "_clean", lambda *args, **kw: df)
+    asked = []
+
+    def short(run, at):  # what was asked for, then a run that ends soon
+        def call(*args, **kw):
+            asked.append((args[3].getMaxIter(), len(args[4]) if at else None))
+            args = [*args[:3], args[3].copy().setMaxIter(1), *([args[4][:1]] if at else [])]
+            return run(*args, **kw)
+        return call
+
+    monkeypatch.setattr(model, "tune", short(model.tune, 1))
+    monkeypatch.setattr(model, "fit", short(model.fit, 0))
+    assert catalog.REGISTRY[name](spark, "unused").count() > 0
+    assert asked == [(800, None if name == "train_classifier" else 30)]

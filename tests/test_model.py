@@ -71,7 +71,7 @@ def test_training_passes_read_the_split_rows_once_written(spark, monkeypatch):
         assert "Scan ExistingRDD" in plan and "MapInArrow" not in plan and "Join" not in plan
 
 
-@pytest.mark.parametrize("name", ["tune_classifier", "train_classifier", "score_customers", "model_lift_table"])
+@pytest.mark.parametrize("name", ["tune_classifier", "train_classifier", "score_customers", "model_lift_table", "feature_importance"])
 def test_registered_training_runs_every_round_and_draw(spark, monkeypatch, name):
     from firstbasket.plans import catalog
     rows = [(i, float(i % 7), int(i % 5 == 0)) for i in range(60)]
